@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("model",)
+_MODULES = ("model", "events")
 
 
 def _merged(attribute: str) -> dict:

@@ -81,8 +81,9 @@ def left_lookup(df: DataFrame, key: str, table: DataFrame, table_key: str) -> Da
     Rows without a key match nothing, and there may be very many of them; a
     spread column keeps them from being sent to one task.
     """
+    hashable = [name for name, kind in df.dtypes if "map<" not in kind]
     spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(_NULL_SPREAD))
+        F.col(key).isNull(), F.pmod(F.xxhash64(*hashable), F.lit(_NULL_SPREAD))
     ).otherwise(F.lit(0))
     left = df.withColumn("__spread", spread)
     right = table.withColumn("__zero", F.lit(0).cast("bigint")).withColumnRenamed(

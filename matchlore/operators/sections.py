@@ -19,8 +19,8 @@ TRACE_MARKS = {"query": "IM_QUERY:", "args": "IM_ARGS:", "result": "IM_RESULT:"}
 
 def numbered_lines(texts: DataFrame, key: str, text: str, keep_blank: bool = True) -> DataFrame:
     """(key, line_no, line): the stripped lines of a text, counted from 0 before blanks go."""
-    exploded = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
-    clean = exploded.withColumn("line", strip(F.col("line")))
+    exploded = texts.select(key, F.posexplode_outer(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    clean = exploded.filter(F.col("line_no").isNotNull()).withColumn("line", strip(F.col("line")))
     return clean if keep_blank else clean.filter(F.col("line") != "")
 
 

@@ -140,8 +140,11 @@ def every_occurrence(
             *keys,
             "text",
             F.col("__context").startswith(F.col("text")).alias("__starts"),
-            F.posexplode(F.transform("__cut", lambda piece: F.length(piece))).alias("__no", "__len"),
+            F.posexplode_outer(F.transform("__cut", lambda piece: F.length(piece))).alias(
+                "__no", "__len"
+            ),
         )
+        .filter(F.col("__no").isNotNull())
     )
     in_row = Window.partitionBy(*keys).orderBy("__no")
     start = F.sum("__len").over(in_row) - F.col("__len")

@@ -35,8 +35,9 @@ def unique_token_histogram(documents: DataFrame, text: str = "text") -> DataFram
 
 
 def term_frequency(documents: DataFrame, text: str = "text") -> DataFrame:
-    terms = documents.select(F.explode(tokenize(F.col(text))).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    # The outer form: the plain one makes Spark tokenize once more to filter by size.
+    terms = documents.select(F.explode_outer(tokenize(F.col(text))).alias("term"))
+    return terms.filter(F.col("term").isNotNull()).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_and_rest(counts: DataFrame, key: str, count: str = "n", top: int = 10) -> DataFrame:

@@ -47,7 +47,10 @@ def fact_maps(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     ``entries`` is an array of (attr, value, quoted) in the order of the text.
     """
     maps = F.regexp_extract_all(F.col(text), F.lit(_MAP), F.lit(1))
-    exploded = texts.select(key, F.posexplode(maps).alias("__at", "__map"))
+    # The outer form: the plain one makes Spark search once more to filter by size.
+    exploded = texts.select(key, F.posexplode_outer(maps).alias("__at", "__map")).filter(
+        F.col("__at").isNotNull()
+    )
     names = F.regexp_extract_all("__map", F.lit(_ENTRY), F.lit(1))
     values = F.regexp_extract_all("__map", F.lit(_ENTRY), F.lit(2))
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlore.functions.text import strip
 from matchlore.operators.model import EVENT_KINDS
 
 # A map per element: tags are not known in advance.
@@ -27,7 +26,7 @@ def event_documents(
     return (
         matches.select(F.col(key).alias("match_id"), *kinds)
         .unpivot("match_id", list(kinds), "event_kind", "xml")
-        .filter(F.length(strip(F.col("xml"))) > 0)
+        .filter(F.col("xml").rlike(r"\S"))
         .select("match_id", "event_kind", (kind_number - 1).cast("int").alias("kind_no"), "xml")
     )
 
@@ -37,6 +36,7 @@ def event_elements(documents: DataFrame) -> DataFrame:
     parsed = documents.select(
         "match_id", "event_kind", "kind_no", parse_elements(F.col("xml")).alias("elements")
     )
+    # The outer form: the plain one makes Spark parse once more to filter by size.
     return parsed.select(
-        "match_id", "event_kind", "kind_no", F.posexplode("elements").alias("position", "tags")
-    )
+        "match_id", "event_kind", "kind_no", F.posexplode_outer("elements").alias("position", "tags")
+    ).filter(F.col("position").isNotNull())
