@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("model", "events")
+_MODULES = ("model", "events", "facts")
 
 
 def _merged(attribute: str) -> dict:

@@ -129,9 +129,10 @@ def order_events(
     order: Sequence[Column] | None = None,
     name: str = "pos",
     limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """Numbers the events of a match from 1 in canonical order."""
-    return OrderedGroups(events, group, order or event_order(), limit).number(name).df
+    return OrderedGroups(events, group, order or event_order(), limit, largest).number(name).df
 
 
 def last_event_valid(events: DataFrame) -> DataFrame:
@@ -165,7 +166,8 @@ def match_events(
     """
     raw = event_fields(event_elements(event_documents(matches)), strict)
     named = with_roles(resolve_names(raw, teams, players), overview)
-    ordered = order_events(named).withColumn("invalid", is_invalid())
+    # A match's events come out of one row, which bounds the group: no size check.
+    ordered = order_events(named, largest=0).withColumn("invalid", is_invalid())
     if whole_match_rule:
         ordered = last_event_valid(ordered)
     return drop_invalid(ordered).drop("invalid")
