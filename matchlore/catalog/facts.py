@@ -35,9 +35,8 @@ def _match_rows(spark, folder):
 
 def pattern_count(spark, folder):
     """Entities with a minute and type error, counted per match."""
-    facts = _facts(spark, folder)
-    found = fx.all_patterns(
-        fx.pattern(facts, "event/minute"), fx.pattern(facts, "event/type", "error")
+    found = fx.entities_where(
+        _facts(spark, folder), {"event/type": "error"}, {"minute": "event/minute"}
     )
     return fx.entity_count(found)
 
@@ -269,7 +268,7 @@ SQL = {
         m AS (SELECT match_id, -1 AS entity_id, 'match/league' AS attr, league AS value FROM mn
           UNION ALL SELECT match_id, -1, 'match/score', {_SCORE} FROM mn),
         u AS (SELECT * FROM facts UNION ALL SELECT * FROM m
-          UNION ALL SELECT m.match_id, eid, attr, value FROM m JOIN ev ON ev.match_id = m.match_id)
+          UNION ALL SELECT m.match_id, eid, attr, m.value FROM m JOIN ev ON ev.match_id = m.match_id)
         SELECT match_id, attr, count(*) AS facts, count(DISTINCT value) AS texts FROM u GROUP BY 1, 2""",
     "fact_add_set": """SELECT c_custkey AS entity_id, 'name' AS attr, c_name AS value FROM customer
         UNION SELECT c_custkey, 'name', CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE c_mktsegment END

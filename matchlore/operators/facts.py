@@ -89,6 +89,30 @@ def all_patterns(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
+def entities_where(
+    facts: DataFrame, equal: Mapping[str, str], values: Mapping[str, str]
+) -> DataFrame:
+    """``all_patterns`` in one grouping, for attributes with one value per entity.
+
+    ``equal`` gives the attributes that must have a value, ``values`` the names
+    under which the values of further attributes are kept.
+    """
+    needed = facts.filter(F.col("attr").isin(*equal, *values.values()))
+    grouped = needed.groupBy(*ENTITY).agg(
+        *[
+            F.max(F.when(F.col("attr") == attr, F.col("value"))).alias(f"__{attr}")
+            for attr in equal
+        ],
+        *[
+            F.max(F.when(F.col("attr") == attr, F.col("value"))).alias(name)
+            for name, attr in values.items()
+        ],
+    )
+    for attr, value in equal.items():
+        grouped = grouped.filter(F.col(f"`__{attr}`") == value).drop(f"__{attr}")
+    return grouped.dropna(subset=list(values))
+
+
 def entity_count(found: DataFrame, name: str = "n") -> DataFrame:
     """Distinct entities per match. A match without any has no row, not a zero."""
     return found.groupBy("match_id").agg(F.count_distinct("entity_id").alias(name))
