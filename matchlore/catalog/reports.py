@@ -193,8 +193,8 @@ def _offers(rules) -> str:
     )
 
 
-_STRIP = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
-_STRIP_EACH = r"array_to_string([regexp_replace(x, '^\s+|\s+$', '', 'g') FOR x IN string_split({}, chr(10))], chr(10))"
+_STRIP = st.strip_sql("{}")
+_STRIP_EACH = f"array_to_string([{st.strip_sql('x')} FOR x IN string_split({{}}, chr(10))], chr(10))"
 
 
 def _chosen(rules, order: str) -> str:
@@ -215,9 +215,9 @@ _LINES = f"""{_chosen(RULES, _DRAW)},
  lines AS (SELECT match_id, minute, line, row_number() OVER (PARTITION BY match_id ORDER BY pos) AS line_no
    FROM l1 WHERE line IS DISTINCT FROM before)"""
 
-_WORDS = r"""tok AS (SELECT doc_id, [x FOR x IN
-   [regexp_replace(w, '^\s+|\s+$', '', 'g') FOR w IN string_split(replace(regexp_replace(
-     lower(text), '[0-9.\-:;!@#$%^&*(){}]', '', 'g'), chr(10), ' '), ' ')] IF x <> ''] AS words
+_WORDS = rf"""tok AS (SELECT doc_id, [x FOR x IN
+   [{st.strip_sql('w')} FOR w IN string_split(replace(regexp_replace(
+     lower(text), '[0-9.\-:;!@#$%^&*(){{}}]', '', 'g'), chr(10), ' '), ' ')] IF x <> ''] AS words
    FROM documents)"""
 _TERMS = f"{_WORDS}, terms AS (SELECT term, count(*) AS n FROM (SELECT unnest(words) AS term FROM tok) GROUP BY 1)"
 
@@ -267,8 +267,8 @@ SQL = {
         l AS (SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS raw FROM p),
         c AS (SELECT doc_id, line_no, {_STRIP.format('raw')} AS line FROM l)
         SELECT * FROM c WHERE line <> ''""",
-    "line_hist": r"""WITH l AS (SELECT len([x FOR x IN string_split(text, chr(10))
-          IF regexp_replace(x, '^\s+|\s+$', '', 'g') <> '']) AS lines FROM documents)
+    "line_hist": f"""WITH l AS (SELECT len([x FOR x IN string_split(text, chr(10))
+          IF {st.strip_sql('x')} <> '']) AS lines FROM documents)
         SELECT lines, count(*) AS n FROM l GROUP BY 1""",
     "token_hist": f"WITH {_WORDS} SELECT len(words) AS tokens, count(*) AS n FROM tok GROUP BY 1",
     "unique_token_hist": f"""WITH {_WORDS}

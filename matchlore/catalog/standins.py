@@ -9,11 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchlore.functions.text import WHITE_SPACE
 from matchlore.sources.tables import read_table
 
 SEED = 42
 
 
+def strip_sql(text: str) -> str:
+    return f"trim({text}, '{WHITE_SPACE}')"
+
+
 def countries(spark: SparkSession, folder: str) -> DataFrame:
     """Regions as countries."""
     region = read_table(spark, folder, "region", "r_regionkey", "r_name")

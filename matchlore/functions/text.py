@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 # The characters a token loses, besides digits.
 TOKEN_STRIP = ".-:;!@#$%^&*(){}"
 _DIGITS = "0123456789"
+# White space as Unicode has it, line ends included.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
-    """Without leading and trailing white space of any kind (``trim`` drops blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Without leading and trailing white space of any kind (plain ``trim`` drops blanks only)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def lines(text: Column) -> Column:
