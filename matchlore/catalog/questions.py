@@ -244,10 +244,10 @@ SQL = {
     "answerability": f"""WITH {_ASKED}, b AS (SELECT match_id + 1 AS match_id, eid, query FROM q)
         SELECT b.* FROM b ANTI JOIN a USING (match_id, query)""",
     "other_match_draw": f"""WITH {_ASKED}, {_groups('match_id')}, {_SLOTS},
-        d AS (SELECT s.match_id, slot, {_HASH.format("s.match_id || ':' || slot")} % CAST(total - s.n AS BIGINT) AS at,
+        d AS (SELECT s.match_id, slot, {_HASH.format("s.match_id || ':' || slot")} % CAST(total - s.n AS BIGINT) AS draw,
           CAST(start AS BIGINT) AS start, s.n FROM slots s JOIN g USING (match_id) WHERE total > s.n)
         SELECT d.match_id, slot, eid FROM d
-        JOIN numbered ON no = at + CASE WHEN at >= start THEN n ELSE 0 END""",
+        JOIN numbered ON no = draw + CASE WHEN draw >= start THEN n ELSE 0 END""",
     "negatives": _NEGATIVES_SQL,
     "negatives_with_repeats": "WITH " + _NEGATIVES.format(drawn=_REPEATS),
     "question_union": f"""WITH neg AS ({_NEGATIVES_SQL}), {_ASKED},

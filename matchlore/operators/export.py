@@ -73,10 +73,11 @@ def question_records(questions: DataFrame, answers: DataFrame, key: str) -> Data
     """Question rows with their spans as ``answers`` array; pairs without any are left out
     unless they are unanswerable.
 
-    ``answers`` has (key, text, answer_start), one row per span.
+    ``answers`` has (key, no, text, answer_start), one row per span in the order of ``no``.
+    The spans of a pair lie in one text, which bounds what is collected.
     """
     grouped = answers.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct("answer_start", "text"))).alias("__spans")
+        F.array_sort(F.collect_list(F.struct("no", "text", "answer_start"))).alias("__spans")
     )
     ordered = F.transform(
         "__spans",

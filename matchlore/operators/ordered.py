@@ -45,12 +45,10 @@ class OrderedGroups:
     ) -> None:
         self.group, self.order = list(group), list(order)
         if largest is None:
-            largest, total = _sizes(df, self.group)
-        else:
-            total = largest
+            largest = largest_group(df, self.group)
         self.split = largest > limit
         if self.split:
-            df = _pieces(df, self.group, self.order, -(-total // limit))
+            df = _pieces(df, self.group, self.order, -(-df.count() // limit))
         self.df_with_pieces = df
         keys = self.group + ([_PIECE] if self.split else [])
         self.window = Window.partitionBy(*keys).orderBy(*self.order)
@@ -135,14 +133,10 @@ class OrderedGroups:
         return self
 
 
-def _sizes(df: DataFrame, group: list[str]) -> tuple[int, int]:
-    row = (
-        df.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .agg(F.max("rows").alias("largest"), F.sum("rows").alias("total"))
-        .first()
-    )
-    return row["largest"] or 0, row["total"] or 0
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group: one pass over the key columns, counted before the shuffle."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.agg(F.max("rows").alias("largest")).first()["largest"] or 0
 
 
 def _pieces(df: DataFrame, group: list[str], order: list[Column], wanted: int) -> DataFrame:

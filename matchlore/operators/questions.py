@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.functions.text import stripped_lines
-from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, first_in_group, hash_ranked
+from matchlore.operators.ordered import (
+    GROUP_LIMIT, OrderedGroups, first_in_group, hash_ranked, largest_group,
+)
 
 # Fixed values of question generation.
 MIN_LINES = 50
@@ -119,7 +121,9 @@ def _starts(counts: DataFrame, key: str, seed: int) -> DataFrame:
     )
 
 
-def _numbered(questions: DataFrame, group: str, question_key: str, seed: int, limit: int):
+def _numbered(
+    questions: DataFrame, group: str, question_key: str, seed: int, limit: int
+) -> tuple[DataFrame, DataFrame]:
     """All questions numbered so that those of a group are consecutive.
 
     Returns the groups (group, questions, start, total) and the questions with
@@ -206,8 +210,11 @@ def negatives(
             key, F.col("question_no").alias("start"), F.lit(1).cast("bigint").alias("questions")
         )
     )
+    # Sizes are checked once; those of the later steps follow from them.
+    most_questions = largest_group(narrow, [key])
+    most_blocked = largest_group(blocked, [key])
     # Where a blocked range lies among the numbers that are left over.
-    summed = OrderedGroups(blocked, [key], [F.col("start")], limit).running_sum(
+    summed = OrderedGroups(blocked, [key], [F.col("start")], limit, most_blocked).running_sum(
         F.col("questions"), "shift"
     ).df
     placed = summed.select(
@@ -218,8 +225,10 @@ def negatives(
         F.lit(None).cast("bigint").alias("slot"),
     )
     counts = questions.groupBy(key).agg(F.count(F.lit(1)).alias("questions"))
-    within = OrderedGroups(narrow, [key], [F.col(question_key)], limit).number("within", start=0).df
-    total = ranges.agg(F.sum("questions").alias("n")).first()["n"]
+    within = OrderedGroups(narrow, [key], [F.col(question_key)], limit, most_questions).number(
+        "within", start=0
+    ).df
+    total = questions.count()
     gone = blocked.groupBy(key).agg(F.sum("questions").alias("gone"))
     free = counts.join(gone, key, "left").select(
         key,
@@ -243,7 +252,8 @@ def negatives(
         "slot",
     )
     order = [F.col(column) for column in ("at", "is_draw", "shift", "slot")]
-    moved = OrderedGroups(placed.unionByName(draws), [key], order, limit).running_max(
+    most_placed = most_blocked + most_questions // NEGATIVE_SHARE + 1
+    moved = OrderedGroups(placed.unionByName(draws), [key], order, limit, most_placed).running_max(
         F.col("shift"), "shift"
     ).df
     drawn = moved.filter(F.col("is_draw") == 1).select(

@@ -36,14 +36,14 @@ def _span(text: Column, found: Column) -> Column:
 
 def minute_start(context: Column, minute: Column) -> Column:
     """1-based position of the line of a minute, 0 if there is none (or it is the first line)."""
-    found = position(F.concat(F.lit("\n"), minute.cast("string"), F.lit(": ")), context)
-    return F.when(found > 0, found + 1).otherwise(F.lit(0))
+    line_end = position(F.concat(F.lit("\n"), minute.cast("string"), F.lit(": ")), context)
+    # Past the line end, and 0 where there is none.
+    return line_end + F.signum(line_end).cast("int")
 
 
-def _minute_spans(context: Column, answer: Column) -> Column:
-    at = minute_start(context, answer)
-    both = F.array(_span(answer, at), _span(F.concat(answer, F.lit(":")), at))
-    return F.when((answer != "") & (at > 0), both)
+def _minute_spans(answer: Column, onset: Column) -> Column:
+    both = F.array(_span(answer, onset), _span(F.concat(answer, F.lit(":")), onset))
+    return F.when((answer != "") & (onset > 0), both)
 
 
 def _first_span(context: Column, answer: Column) -> Column:
@@ -51,26 +51,38 @@ def _first_span(context: Column, answer: Column) -> Column:
     return F.when((answer != "") & (at > 0), F.array(_span(answer, at)))
 
 
-def _from_minute_spans(context: Column, answer: Column, minute: Column, query: Column) -> Column:
-    """Searches from the minute's line on, then the last word from there, then anywhere.
+def _with_anchored(pairs: DataFrame, text: Column, query: Column) -> DataFrame:
+    """Adds ``__anchored``: spans searched from the minute's line on, then the last
+    word from there, then the answer anywhere.
 
     A player's name of several words found this way also gives its last word,
-    with start -1 if that does not occur from the line on.
+    with start -1 if that does not occur from the line on. Each step is a column
+    of its own, so that no search is written out twice in the generated code.
     """
-    onset = minute_start(context, minute)
-    word = last_word(answer)
-    full, short = position(answer, context, onset), position(word, context, onset)
-    anywhere = position(answer, context)
-    text = F.when(full > 0, answer).when(short > 0, word).when(anywhere > 0, answer)
-    at = F.when(full > 0, full).when(short > 0, short).otherwise(anywhere)
+    clean, onset = F.col("clean_answer"), F.col("__onset")
+    full, short, anywhere = F.col("__full"), F.col("__short"), F.col("__anywhere")
     is_player = F.contains(query, F.lit(":event/player")) & ~F.contains(query, F.lit(":event/team"))
-    surname = last_word(text)
-    extra = F.when(
-        is_player & F.contains(text, F.lit(" ")),
-        F.array(_span(surname, position(surname, context, onset))),
-    ).otherwise(F.array().cast(_SPAN))
-    return F.when(
-        (answer != "") & (onset > 0) & text.isNotNull(), F.concat(F.array(_span(text, at)), extra)
+    found, surname = F.col("__text"), F.col("__surname")
+    one = F.array(_span(found, F.col("__at")))
+    two = F.array(_span(found, F.col("__at")), _span(surname, position(surname, text, onset)))
+    return (
+        pairs.withColumn("__full", position(clean, text, onset))
+        .withColumn("__short", position(last_word(clean), text, onset))
+        .withColumn("__anywhere", position(clean, text))
+        .withColumn(
+            "__text",
+            F.when(full > 0, clean).when(short > 0, last_word(clean)).when(anywhere > 0, clean),
+        )
+        .withColumn("__at", F.when(full > 0, full).when(short > 0, short).otherwise(anywhere))
+        .withColumn("__surname", F.when(is_player & F.contains(found, F.lit(" ")), last_word(found)))
+        .withColumn(
+            "__anchored",
+            F.when(
+                (clean != "") & (onset > 0) & found.isNotNull(),
+                F.when(surname.isNull(), one).otherwise(two),
+            ),
+        )
+        .drop("__full", "__short", "__anywhere", "__text", "__at", "__surname")
     )
 
 
@@ -82,45 +94,50 @@ def with_spans(
     minute: str | None = "minute",
     query: str = "datalog",
 ) -> DataFrame:
-    """Adds ``spans`` and ``reason`` to all but numeric pairs; see ``numeric_spans`` for those.
+    """Adds ``clean_answer``, ``spans`` and ``reason``.
 
-    Without a minute and without the full answer in the context, ``spans`` stays
-    NULL and ``reason`` says ``last_word``: ``every_occurrence`` handles them.
+    Numeric pairs get no spans here but the reason ``numeric``: their places are
+    known once all of a document's are, see ``numeric_spans``. A text pair of
+    which only the last word occurs gets the reason ``last_word``, see
+    ``last_word_spans``. Every other pair without spans has the reason of its skip.
     """
-    text, clean = F.col(context), unquote(F.col(answer))
-    at_minute = F.col(minute) if minute else F.lit(None).cast("string")
-    kind = F.col(answertype)
-    spans = (
-        F.when(kind == "minute", _minute_spans(text, clean))
-        .when(
-            (kind == "text") & at_minute.isNotNull(),
-            _from_minute_spans(text, clean, at_minute, F.col(query)),
-        )
-        .when(kind == "text", _first_span(text, clean))
-    )
+    text, clean, onset, kind = F.col(context), F.col("clean_answer"), F.col("__onset"), F.col(answertype)
+    at_minute = F.col(minute).cast("string") if minute else F.lit(None).cast("string")
+    spans = F.when(kind == "minute", _minute_spans(clean, onset))
+    if minute:
+        anchored = (kind == "text") & at_minute.isNotNull()
+        spans = spans.when(anchored, F.col("__anchored"))
+    spans = spans.when(kind == "text", _first_span(text, clean))
     reason = (
-        F.when(F.col("spans").isNotNull(), F.lit(None).cast("string"))
-        .when(kind.isNull() | ~kind.isin("minute", "text", "numeric"), "unknown_answertype")
-        .when(F.col("clean_answer").isNull() | (F.col("clean_answer") == ""), "empty_answer")
-        .when(kind == "numeric", "numeric")
-        .when(
-            (kind == "text")
-            & at_minute.isNull()
-            & F.contains(text, last_word(F.col("clean_answer"))),
-            "last_word",
-        )
-        .when(kind == "text", F.when(
-            at_minute.isNull() | (minute_start(text, at_minute) > 0), "answer_not_found"
-        ).otherwise("minute_not_found"))
-        .otherwise("minute_not_found")
+        F.when(kind.isNull() | ~kind.isin("minute", "text", "numeric"), "unknown_answertype")
+        .when(clean.isNull() | (clean == ""), "empty_answer")
+        .when(kind == "numeric", F.when(clean.try_cast("bigint").isNull(), "no_number").otherwise("numeric"))
+        .when(((kind == "minute") | at_minute.isNotNull()) & (onset == 0), "minute_not_found")
+        .when(at_minute.isNull() & F.contains(text, last_word(clean)), "last_word")
+        .otherwise("answer_not_found")
+    )
+    sought = F.when(kind == "minute", clean).otherwise(at_minute)
+    located = pairs.withColumn("clean_answer", unquote(F.col(answer))).withColumn(
+        "__onset", F.coalesce(minute_start(text, sought), F.lit(0))
     )
+    if minute:
+        located = _with_anchored(located, text, F.col(query))
     return (
-        pairs.withColumn("clean_answer", clean)
-        .withColumn("spans", spans)
-        .withColumn("reason", reason)
+        located.withColumn("spans", spans)
+        .withColumn("reason", F.when(F.col("spans").isNull(), reason))
+        .drop("__onset", "__anchored")
     )
 
 
+def span_rows(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, no, text, answer_start) of the pairs that have spans.
+
+    The outer form: the plain one makes Spark repeat all searches in a filter.
+    """
+    exploded = pairs.select(*keys, F.posexplode_outer("spans").alias("no", "span"))
+    return exploded.filter(F.col("span").isNotNull()).select(*keys, "no", "span.*")
+
+
 def every_occurrence(
     pairs: DataFrame, keys: Sequence[str], needle: Column, context: str = "context"
 ) -> DataFrame:
@@ -130,10 +147,11 @@ def every_occurrence(
     piece lengths; that stays linear in the text where probing each position
     would not. A pair's pieces are no more than the text of its own row.
     """
-    quoted = F.replace(needle, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    quoted = F.replace("text", F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
     before_each = F.concat(F.lit("(?s)(?=\\Q"), quoted, F.lit("\\E)"))
     pieces = (
-        pairs.select(*keys, needle.alias("text"), F.col(context).alias("__context"))
+        pairs.withColumn("__needle", needle)
+        .select(*keys, F.col("__needle").alias("text"), F.col(context).alias("__context"))
         .filter((F.col("text") != "") & F.contains("__context", F.col("text")))
         .withColumn("__cut", F.split("__context", before_each))
         .select(
