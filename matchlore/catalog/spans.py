@@ -11,7 +11,7 @@ from matchlore.operators import reports, sections, spans
 from matchlore.sources.tables import read_table
 
 
-def _reports(spark, folder):
+def reports_of(spark, folder):
     headers = st.match_numbers(spark, folder).select(
         "match_id", F.concat_ws(" vs. ", "hometeam", "awayteam").alias("header")
     )
@@ -36,7 +36,7 @@ def _minute_pairs(spark, folder):
         .otherwise(minute)
     )
     events = st.match_events(spark, folder).select("match_id", "eid", answer.alias("answer"))
-    return events.join(_reports(spark, folder), "match_id").withColumn("answertype", F.lit("minute"))
+    return events.join(reports_of(spark, folder), "match_id").withColumn("answertype", F.lit("minute"))
 
 
 def span_minute(spark, folder):
@@ -69,7 +69,7 @@ def _player_pairs(spark, folder):
         "match_id", "eid", answer.alias("answer"), F.col("minute").cast("string").alias("minute"),
         query.alias("datalog"),
     )
-    return events.join(_reports(spark, folder), "match_id").withColumn("answertype", F.lit("text"))
+    return events.join(reports_of(spark, folder), "match_id").withColumn("answertype", F.lit("text"))
 
 
 def span_anchor(spark, folder):

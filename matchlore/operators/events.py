@@ -179,10 +179,11 @@ def drop_repeats(
     order: Sequence[Column],
     line: str = "line",
     limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """Leaves out a line equal to the one before; repeats further apart stay."""
     marked = (
-        OrderedGroups(lines, group, order, limit)
+        OrderedGroups(lines, group, order, limit, largest)
         .previous(F.struct(line), "__before")
         .df
     )
@@ -197,13 +198,14 @@ def short_form_allowed(
     subject: str,
     name: str = "short_form",
     limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """True where an event may refer back to its predecessor's subject.
 
     Only an event with the same subject as the one before is eligible, and never
     two events in a row: within a run of equal subjects it is every second one.
     """
-    ordered = OrderedGroups(events, group, order, limit)
+    ordered = OrderedGroups(events, group, order, limit, largest)
     ordered.number("__pos").previous(F.col(subject), "__before")
     eligible = F.coalesce(F.col(subject) == F.col("__before"), F.lit(False))
     ordered.running_max(F.when(~eligible, F.col("__pos")), "__head")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlore.functions.text import minute_line, strip
 from matchlore.operators.events import drop_repeats, short_form_allowed
-from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups
+from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, largest_group
 from matchlore.operators.rules import Rule, render
 
 # Fields an event dump shows in its own places.
@@ -59,12 +59,14 @@ def report_lines(
     over all events.
     """
     order = list(order) or [F.col("pos")]
+    # No later step has more rows per group than the events.
+    largest = largest_group(events, group)
     if subject:
-        events = short_form_allowed(events, group, order, subject, limit=limit)
+        events = short_form_allowed(events, group, order, subject, limit=limit, largest=largest)
     rendered = render(events, rules, keys, seed).filter(F.col("rule").isNotNull())
     lines = rendered.withColumn("line", minute_line(F.col("minute"), F.col("rule.body")))
-    kept = drop_repeats(lines, group, order, "line", limit)
-    numbered = OrderedGroups(kept, group, order, limit).number("line_no")
+    kept = drop_repeats(lines, group, order, "line", limit, largest)
+    numbered = OrderedGroups(kept, group, order, limit, largest).number("line_no")
     return numbered.df.select(*group, "minute", "line", "line_no")
 
 

@@ -94,7 +94,8 @@ def with_spans(
     minute: str | None = "minute",
     query: str = "datalog",
 ) -> DataFrame:
-    """Adds ``clean_answer``, ``spans`` and ``reason``.
+    """Adds ``clean_answer``, ``spans``, ``pieces`` and ``reason``. The context is not
+    needed after this, so it need not travel with the rows.
 
     Numeric pairs get no spans here but the reason ``numeric``: their places are
     known once all of a document's are, see ``numeric_spans``. A text pair of
@@ -125,6 +126,10 @@ def with_spans(
     return (
         located.withColumn("spans", spans)
         .withColumn("reason", F.when(F.col("spans").isNull(), reason))
+        .withColumn(
+            "pieces",
+            F.when(F.col("reason") == "last_word", occurrence_pieces(text, last_word(clean))),
+        )
         .drop("__onset", "__anchored")
     )
 
@@ -138,45 +143,56 @@ def span_rows(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return exploded.filter(F.col("span").isNotNull()).select(*keys, "no", "span.*")
 
 
-def every_occurrence(
-    pairs: DataFrame, keys: Sequence[str], needle: Column, context: str = "context"
-) -> DataFrame:
-    """(keys, text, answer_start) for every occurrence, overlapping ones included.
+def occurrence_pieces(context: Column, needle: Column) -> Column:
+    """STRUCT<lengths, at_start>: the lengths of the pieces of a text cut in front of
+    each occurrence, overlapping ones included, and whether it begins with one.
 
-    The text is cut in front of each occurrence, so starts are running sums of
-    piece lengths; that stays linear in the text where probing each position
-    would not. A pair's pieces are no more than the text of its own row.
+    Starts are running sums of the lengths. That stays linear in the text where
+    probing each position would not.
     """
-    quoted = F.replace("text", F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    quoted = F.replace(needle, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
     before_each = F.concat(F.lit("(?s)(?=\\Q"), quoted, F.lit("\\E)"))
-    pieces = (
-        pairs.withColumn("__needle", needle)
-        .select(*keys, F.col("__needle").alias("text"), F.col(context).alias("__context"))
-        .filter((F.col("text") != "") & F.contains("__context", F.col("text")))
-        .withColumn("__cut", F.split("__context", before_each))
-        .select(
-            *keys,
-            "text",
-            F.col("__context").startswith(F.col("text")).alias("__starts"),
-            F.posexplode_outer(F.transform("__cut", lambda piece: F.length(piece))).alias(
-                "__no", "__len"
-            ),
-        )
-        .filter(F.col("__no").isNotNull())
+    lengths = F.transform(F.split(context, before_each), lambda piece: F.length(piece))
+    return F.when(
+        (needle != "") & F.contains(context, needle),
+        F.struct(lengths.alias("lengths"), context.startswith(needle).alias("at_start")),
     )
+
+
+def occurrence_rows(pairs: DataFrame, keys: Sequence[str], text: str, pieces: str) -> DataFrame:
+    """(keys, text, answer_start) per occurrence. ``keys`` is unique, so a window holds
+    the pieces of one row."""
+    exploded = pairs.select(
+        *keys,
+        F.col(text).alias("text"),
+        F.col(f"{pieces}.at_start").alias("__at_start"),
+        F.posexplode_outer(f"{pieces}.lengths").alias("__no", "__length"),
+    ).filter(F.col("__no").isNotNull())
     in_row = Window.partitionBy(*keys).orderBy("__no")
-    start = F.sum("__len").over(in_row) - F.col("__len")
+    start = F.sum("__length").over(in_row) - F.col("__length")
     return (
-        pieces.withColumn("answer_start", start.cast("int"))
-        .filter((F.col("__no") > 0) | F.col("__starts"))
+        exploded.withColumn("answer_start", start.cast("int"))
+        .filter((F.col("__no") > 0) | F.col("__at_start"))
         .select(*keys, "text", "answer_start")
     )
 
 
-def last_word_spans(pairs: DataFrame, keys: Sequence[str], context: str = "context") -> DataFrame:
+def every_occurrence(
+    pairs: DataFrame, keys: Sequence[str], needle: Column, context: str = "context"
+) -> DataFrame:
+    """(keys, text, answer_start) for every occurrence of ``needle`` in the context."""
+    cut = pairs.withColumn("__needle", needle).withColumn(
+        "__pieces", occurrence_pieces(F.col(context), F.col("__needle"))
+    )
+    return occurrence_rows(cut, keys, "__needle", "__pieces")
+
+
+def last_word_spans(located: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every occurrence of the answer's last word, for the pairs ``with_spans`` left to this."""
-    left = pairs.filter(F.col("reason") == "last_word")
-    return every_occurrence(left, keys, last_word(F.col("clean_answer")), context)
+    left = located.filter(F.col("pieces").isNotNull()).withColumn(
+        "__word", last_word(F.col("clean_answer"))
+    )
+    return occurrence_rows(left, keys, "__word", "pieces")
 
 
 def numeric_choices(
