@@ -22,7 +22,8 @@ def _element(**tags: str):
 def _xml_matches(spark, folder):
     """Orders with up to eight filled event columns, among them blank and empty ones."""
     orders = read_table(
-        spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
+        spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+        spread=True,
     )
     goal = _element(
         id="o_orderkey", Elapsed="o_orderkey % 90", elapsed_plus="o_custkey % 4", n="7",

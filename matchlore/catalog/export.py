@@ -73,7 +73,7 @@ def _asked(spark, folder):
         .when(key % 6 == 4, F.concat(F.lit("Max "), F.substring_index("player1", " ", -1)))
         .otherwise(F.coalesce("sortorder", F.lit(7)).cast("string"))
     )
-    return st.match_events(spark, folder).select(
+    return st.match_events(spark, folder, spread=True).select(
         "match_id",
         F.col("event_id").alias("question_key"),
         F.col("event_kind").alias("rule"),

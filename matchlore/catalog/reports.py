@@ -84,7 +84,7 @@ def rule_counts(spark, folder):
 
 def _lines(spark, folder):
     return reports.report_lines(
-        st.match_events(spark, folder),
+        st.match_events(spark, folder, spread=True),
         RULES,
         st.SEED,
         order=[F.col("minute"), F.coalesce("sortorder", F.lit(0)), F.col("event_id")],
@@ -143,7 +143,7 @@ def batch_cap(spark, folder):
 
 
 def _documents(spark, folder):
-    return read_table(spark, folder, "documents", "doc_id", "text")
+    return read_table(spark, folder, "documents", "doc_id", "text", spread=True)
 
 
 def text_lines(spark, folder):

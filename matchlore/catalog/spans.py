@@ -35,7 +35,7 @@ def _minute_pairs(spark, folder):
         .when(F.col("eid") % 20 == 2, F.concat(F.lit("'"), minute, F.lit("'")))
         .otherwise(minute)
     )
-    events = st.match_events(spark, folder).select("match_id", "eid", answer.alias("answer"))
+    events = st.match_events(spark, folder, spread=True).select("match_id", "eid", answer.alias("answer"))
     return events.join(reports_of(spark, folder), "match_id").withColumn("answertype", F.lit("minute"))
 
 
@@ -65,7 +65,7 @@ def _player_pairs(spark, folder):
     query = F.when(key % 4 == 0, "[?e :event/team ?t] [?e :event/player1 ?p]").otherwise(
         "[?e :event/player1 ?p]"
     )
-    events = st.match_events(spark, folder).select(
+    events = st.match_events(spark, folder, spread=True).select(
         "match_id", "eid", answer.alias("answer"), F.col("minute").cast("string").alias("minute"),
         query.alias("datalog"),
     )
@@ -79,7 +79,7 @@ def span_anchor(spark, folder):
 
 def _document_pairs(spark, folder):
     """Two questions per document: one whose answer is in the text, one of which only the last word is."""
-    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    documents = read_table(spark, folder, "documents", "doc_id", "text", spread=True)
     words = F.split("text", " ")
     start = F.pmod("doc_id", F.lit(3)).cast("int") + 2
     phrase = F.array_join(F.slice(words, start, 2), " ")
@@ -170,7 +170,7 @@ def unwrap_result(spark, folder):
 
 def _marked_texts(spark, folder):
     """Documents whose lines begin a section, are comments or plain, by their first letter."""
-    documents = read_table(spark, folder, "documents", "doc_id", "text")
+    documents = read_table(spark, folder, "documents", "doc_id", "text", spread=True)
     line = F.split("text", "\n")
     marked = F.transform(
         line,

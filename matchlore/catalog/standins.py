@@ -96,9 +96,9 @@ LEAGUES_SQL = """leagues AS (
   FROM nation)"""
 
 
-def match_events(spark: SparkSession, folder: str) -> DataFrame:
+def match_events(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """The event stream as match events: a user is a match, ``k`` the minute."""
-    events = read_table(spark, folder, "events")
+    events = read_table(spark, folder, "events", spread=spread)
     key = F.col("event_id")
     elapsed = F.get_json_object("props", "$.k").cast("bigint")
     plus = F.when(key % 7 != 0, key % 3)

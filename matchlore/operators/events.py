@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlore.functions import labels
@@ -140,11 +140,14 @@ def last_event_valid(events: DataFrame) -> DataFrame:
 
     The source data was produced by a filter that looked at the last event only
     and dropped a match's events as a whole. Whoever needs the same event set
-    applies this before ``drop_invalid``.
+    applies this before ``drop_invalid``. It is a window over the partitioning
+    that numbered the events: a match's events come out of one row of the match
+    table, so no group is large.
     """
-    last = events.groupBy("match_id").agg(F.max_by("invalid", "pos").alias("__last_invalid"))
-    keep = last.filter(~F.col("__last_invalid")).select("match_id")
-    return events.join(keep, "match_id", "left_semi")
+    last = F.max_by("invalid", "pos").over(Window.partitionBy("match_id"))
+    return events.withColumn("__last_invalid", last).filter(~F.col("__last_invalid")).drop(
+        "__last_invalid"
+    )
 
 
 def drop_invalid(events: DataFrame) -> DataFrame:

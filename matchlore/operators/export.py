@@ -103,6 +103,7 @@ def nested_documents(
     key: str,
     part_size: int = 10_000,
     limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """One row (version, split, part, title, paragraphs) per document.
 
@@ -110,9 +111,8 @@ def nested_documents(
     ``part_size`` questions comes as several rows with the same title, so that
     no task collects an unbounded document; documents without questions stay.
     """
-    numbered = OrderedGroups(records, [key], [F.col("id"), F.col("question")], limit).number(
-        "__no", start=0
-    ).df
+    order = [F.col("id"), F.col("question")]
+    numbered = OrderedGroups(records, [key], order, limit, largest).number("__no", start=0).df
     fields = [F.col(c).alias("datalog" if c == "query" else c) for c in RECORD]
     grouped = (
         numbered.withColumn("part", F.floor(F.col("__no") / part_size).cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from matchlore.functions.text import minute_line, strip
 from matchlore.operators.events import drop_repeats, short_form_allowed
 from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, largest_group
-from matchlore.operators.rules import Rule, render
+from matchlore.operators.rules import Rule, any_applies, render
 
 # Fields an event dump shows in its own places.
 HEADLINE_FIELDS = ("type", "team", "minute", "player1", "player2", "elapsed", "elapsed_plus")
@@ -63,7 +63,7 @@ def report_lines(
     largest = largest_group(events, group)
     if subject:
         events = short_form_allowed(events, group, order, subject, limit=limit, largest=largest)
-    rendered = render(events, rules, keys, seed).filter(F.col("rule").isNotNull())
+    rendered = render(events.filter(any_applies(rules)), rules, keys, seed)
     lines = rendered.withColumn("line", minute_line(F.col("minute"), F.col("rule.body")))
     kept = drop_repeats(lines, group, order, "line", limit, largest)
     numbered = OrderedGroups(kept, group, order, limit, largest).number("line_no")

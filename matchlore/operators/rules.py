@@ -64,6 +64,15 @@ def paired_rules(table: DataFrame, asked: str = "text", answered: str = "datalog
     return table.filter(F.col("target") == asked).join(partner, "rule_id")
 
 
+def any_applies(rules: Sequence[Rule]) -> Column:
+    """Whether some rule fits. A filter on this is cheap; one on the rendered rule
+    would make Spark render twice."""
+    fits = F.lit(False)
+    for rule in rules:
+        fits = fits | F.coalesce(F.expr(rule.condition), F.lit(False))
+    return fits
+
+
 def applicable(rules: Sequence[Rule]) -> Column:
     """Array of (rule_id, category, answertype, body) of the rules whose condition holds."""
     offers = [

@@ -196,7 +196,12 @@ def last_word_spans(located: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def numeric_choices(
-    numeric: DataFrame, doc_key: str, seed: int, value: str = "value", limit: int = GROUP_LIMIT
+    numeric: DataFrame,
+    doc_key: str,
+    seed: int,
+    value: str = "value",
+    limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """The choices appended to a document: (doc_key, value, copies, is_answer, offset).
 
@@ -223,17 +228,16 @@ def numeric_choices(
             ),
         )
     )
+    missing = (F.lit(MIN_CHOICES) - F.col("answers")).cast("int")
+    # The outer form: the plain one makes Spark draw once more to filter by size.
     padding = known.select(
-        doc_key,
-        F.explode(F.slice(shuffled, 1, (F.lit(MIN_CHOICES) - F.col("answers")).cast("int"))).alias(
-            "drawn"
-        ),
+        doc_key, F.explode_outer(F.slice(shuffled, 1, missing)).alias("drawn")
     ).select(
         doc_key, "drawn.value", F.lit(1).cast("bigint").alias("copies"), F.lit(False).alias("is_answer")
     )
     choices = counted.withColumn("is_answer", F.lit(True)).unionByName(padding)
     width = F.length(F.concat(F.lit(NUMBER_MARK), F.col("value").cast("string"))) + 1
-    summed = OrderedGroups(choices, [doc_key], [F.col("value")], limit).running_sum(
+    summed = OrderedGroups(choices, [doc_key], [F.col("value")], limit, largest).running_sum(
         F.col("copies") * width, "__end"
     ).df
     offset = F.col("__end") - F.col("copies") * width + len(NUMBER_MARK)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from matchlore.functions.sampling import seed_hash
 from matchlore.functions.text import strip
 from matchlore.operators import export, questions, spans
-from matchlore.operators.rules import Rule, for_target, render, variant, with_text
+from matchlore.operators.ordered import largest_group
+from matchlore.operators.rules import Rule, any_applies, for_target, render, variant, with_text
 from matchlore.session import reliable
 
 # Rules of our own, one per family. A text rule words the question; its partner
@@ -48,8 +49,9 @@ def _query(rules: Sequence[Rule]) -> Column:
 
 
 def _asked(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], seed: int) -> DataFrame:
-    chosen = with_text(render(df, for_target(rules, "text"), keys, seed), "__text")
-    return chosen.filter(F.col("rule").isNotNull()).select(
+    asking = for_target(rules, "text")
+    chosen = with_text(render(df.filter(any_applies(asking)), asking, keys, seed), "__text")
+    return chosen.select(
         *keys,
         F.col("rule.rule_id").alias("rule"),
         F.col("rule.category").alias("category"),
@@ -164,6 +166,8 @@ def dataset(
     documents = split.join(contexts, "match_id").join(fact_texts, "match_id")
 
     key = "question_key"
+    # Neither the choices nor the records of a match outnumber its questions by more than these.
+    largest = largest_group(asked, ["match_id"]) + spans.MIN_CHOICES
     pairs = asked.filter(~F.col("is_impossible")).join(contexts, "match_id")
     # Read four times below, so the search is done once and its narrow result kept.
     located = reliable(
@@ -179,7 +183,7 @@ def dataset(
         key, "match_id", F.col("clean_answer").try_cast("bigint").alias("value"), "clean_answer",
         "context_length",
     )
-    choices = spans.numeric_choices(numeric, "match_id", seed)
+    choices = spans.numeric_choices(numeric, "match_id", seed, largest=largest)
     placed = spans.numeric_spans(numeric, choices, "match_id").select(
         key,
         F.lit(0).alias("no"),
@@ -195,6 +199,7 @@ def dataset(
         export.question_records(records, found, key),
         _with_choice_lines(documents, choices),
         "match_id",
+        largest=largest,
     )
     statuses = (
         asked.join(status, key, "left")

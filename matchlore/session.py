@@ -17,6 +17,7 @@ def local_session(cpus: int | str = 8, app: str = "matchlore", **conf: str) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus if cpus != "*" else 8))
         .config("spark.sql.files.openCostInBytes", "65536")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
