@@ -212,7 +212,7 @@ def negatives(
     )
     # Sizes are checked once; those of the later steps follow from them.
     most_questions = largest_group(narrow, [key])
-    most_blocked = largest_group(blocked, [key])
+    most_blocked = largest_group(results, [key]) + most_questions
     # Where a blocked range lies among the numbers that are left over.
     summed = OrderedGroups(blocked, [key], [F.col("start")], limit, most_blocked).running_sum(
         F.col("questions"), "shift"

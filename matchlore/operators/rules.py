@@ -37,10 +37,9 @@ def for_target(rules: Sequence[Rule], target: str) -> list[Rule]:
 
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
-    rows = [(r.ruleset, r.target, r.rule_id, r.category, r.answertype) for r in rules]
-    return spark.createDataFrame(
-        rows, "ruleset string, target string, rule_id string, category string, answertype string"
-    )
+    columns = ("ruleset", "target", "rule_id", "category", "answertype")
+    rows = [F.struct(*[F.lit(getattr(r, c)).alias(c) for c in columns]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def rules_per_ruleset(table: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import seed_hash
 from matchlore.functions.text import last_word, position, unquote
-from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups
+from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, largest_group
 
 # A numeric answer is padded to this many choices from 0..100.
 MIN_CHOICES = 5
@@ -235,6 +235,8 @@ def numeric_choices(
     ).select(
         doc_key, "drawn.value", F.lit(1).cast("bigint").alias("copies"), F.lit(False).alias("is_answer")
     )
+    if largest is None:
+        largest = largest_group(counted, [doc_key]) + MIN_CHOICES
     choices = counted.withColumn("is_answer", F.lit(True)).unionByName(padding)
     width = F.length(F.concat(F.lit(NUMBER_MARK), F.col("value").cast("string"))) + 1
     summed = OrderedGroups(choices, [doc_key], [F.col("value")], limit, largest).running_sum(
