@@ -12,6 +12,7 @@ from matchlore.operators import events as ev
 from matchlore.operators import facts as fx
 from matchlore.operators import model, reports
 from matchlore.operators.rules import Rule
+from matchlore.session import reliable
 from matchlore.sources import fact_text
 
 # Rules of our own: what the report says about an event.
@@ -46,22 +47,22 @@ def build_corpus(
 ) -> Corpus:
     """``tables``: Match, Team, Country, League and Player as read from parquet.
 
-    Pass ``events`` (the stored result of ``match_events``) to skip parsing: the
-    outputs share it, and what is written once need not be parsed again.
+    Events and scored matches are kept in reliable checkpoints, as all outputs
+    share them. Pass ``events`` (a stored result of ``match_events``) to skip parsing.
     """
     overview = model.match_overview(
         tables["Match"], tables["Country"], tables["League"], tables["Team"]
     )
     with_data = model.matches_with_events(tables["Match"])
     if events is None:
-        events = ev.match_events(
-            with_data, overview, tables["Team"], tables["Player"], whole_match_rule
+        events = reliable(
+            ev.match_events(with_data, overview, tables["Team"], tables["Player"], whole_match_rule)
         )
     ids = with_data.select(F.col("id").alias("match_id"))
     recorded = overview.join(ids, "match_id", "left_semi")
     # The score text counts goal events; the goals of the table stay beside it.
     scores = model.recomputed_score(recorded.select("match_id"), events).select("match_id", "score")
-    matches = recorded.join(scores, "match_id")
+    matches = reliable(recorded.join(scores, "match_id"))
     return Corpus(
         matches=matches,
         events=events,

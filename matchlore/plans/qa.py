@@ -71,9 +71,8 @@ def ask_events(events: DataFrame, seed: int, rules: Sequence[Rule] = EVENT_RULES
 
 def ask_matches(matches: DataFrame, seed: int, rules: Sequence[Rule] = MATCH_RULES) -> DataFrame:
     """Match-level attempts: each draws a rule; the first of every rule stays."""
-    attempts = matches.withColumn(
-        "pos", F.explode(F.sequence(F.lit(1), F.lit(questions.MATCH_ATTEMPTS))).cast("bigint")
-    )
+    numbers = F.sequence(F.lit(1).cast("bigint"), F.lit(questions.MATCH_ATTEMPTS).cast("bigint"))
+    attempts = matches.withColumn("pos", F.explode(numbers))
     asked = _asked(attempts, rules, ["match_id", "pos"], seed)
     return asked.withColumn("draw", F.lpad(F.col("pos").cast("string"), 4, "0")).withColumn(
         "level", F.lit("match")
@@ -116,7 +115,8 @@ def question_set(matches: DataFrame, events: DataFrame, seed: int) -> DataFrame:
     (match_id, question_key, level, rule, category, question, datalog, answer,
     answertype, unanswerable)
     """
-    results = answers(matches, events).withColumnRenamed("query", "datalog")
+    # Both are read several times below, so they are worked out once and kept.
+    results = reliable(answers(matches, events).withColumnRenamed("query", "datalog"))
     on = ["match_id", "datalog"]
     by_event = questions.drop_empty_answers(
         questions.answer_from(ask_events(events, seed), results, on)
@@ -126,7 +126,9 @@ def question_set(matches: DataFrame, events: DataFrame, seed: int) -> DataFrame:
     by_match = questions.one_per_rule(ask_matches(matches, seed), ["draw", "pos"])
     by_match = questions.answer_from(by_match, results, on)
     asked = by_match.unionByName(by_event.select(*by_match.columns)).drop("draw")
-    asked = asked.withColumn("question_key", F.concat_ws("_", "match_id", "level", "rule"))
+    asked = reliable(
+        asked.withColumn("question_key", F.concat_ws("_", "match_id", "level", "rule"))
+    )
     drawn = questions.negatives(asked, results, "match_id", "question_key", "datalog", seed)
     wording = asked.select("question_key", "rule", "category", "question", "answertype")
     # A drawn question is asked once more under a key of its own.
