@@ -35,12 +35,19 @@ def _match_rows(spark, folder):
 
 def pattern_count(spark, folder):
     """Entities with a minute and type error, counted per match."""
-    found = fx.entities_where(
-        _facts(spark, folder), {"event/type": "error"}, {"minute": "event/minute"}
-    )
+    found = fx.entities_where(_facts(spark, folder), {"event/type": "error"}, ["event/minute"])
     return fx.entity_count(found)
 
 
+def pattern_values(spark, folder):
+    """The same in one grouping, keeping values."""
+    return fx.entities_where(
+        _facts(spark, folder),
+        {"event/type": "click", "event/team": "home"},
+        values={"player": "event/player1", "minute": "event/minute"},
+    )
+
+
 def conjunctive_pattern(spark, folder):
     """Goals of a side by player: patterns sharing an entity, values kept."""
     facts = _facts(spark, folder)
@@ -206,7 +213,7 @@ def fact_cas(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        pattern_count, conjunctive_pattern, facts_melt, facts_pivot, fact_text_roundtrip,
+        pattern_count, pattern_values, conjunctive_pattern, facts_melt, facts_pivot, fact_text_roundtrip,
         attribute_namespaces, qualified_ids, param_query, ref_traverse, multi_value, chained_query,
         first_answers, denormalise_parent, copied_facts, fact_add_set, fact_cas,
     )
@@ -234,6 +241,9 @@ SQL = {
     "conjunctive_pattern": f"""WITH {st.EVENTS_SQL} SELECT match_id, eid AS entity_id,
         player1 AS player, CAST(minute AS VARCHAR) AS minute FROM ev
         WHERE event_kind = 'click' AND team = 'home'""",
+    "pattern_values": f"""WITH {st.EVENTS_SQL} SELECT match_id, eid AS entity_id,
+        player1 AS player, CAST(minute AS VARCHAR) AS minute FROM ev
+        WHERE event_kind = 'click' AND team = 'home'""",
     "facts_melt": f"WITH {_FACTS} SELECT * FROM facts",
     "facts_pivot": f"""WITH {st.EVENTS_SQL} SELECT match_id, eid AS entity_id, event_kind,
         CAST(minute AS VARCHAR) AS minute, team, player1, player2 FROM ev""",

@@ -90,27 +90,33 @@ def all_patterns(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def entities_where(
-    facts: DataFrame, equal: Mapping[str, str], values: Mapping[str, str]
+    facts: DataFrame,
+    equal: Mapping[str, str],
+    present: Sequence[str] = (),
+    values: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """``all_patterns`` in one grouping, for attributes with one value per entity.
 
-    ``equal`` gives the attributes that must have a value, ``values`` the names
-    under which the values of further attributes are kept.
+    ``equal`` gives attributes that must have a value, ``present`` attributes
+    that must be there, ``values`` the names under which values are kept of
+    further attributes that must be there.
     """
-    needed = facts.filter(F.col("attr").isin(*equal, *values.values()))
-    grouped = needed.groupBy(*ENTITY).agg(
-        *[
-            F.max(F.when(F.col("attr") == attr, F.col("value"))).alias(f"__{attr}")
-            for attr in equal
-        ],
-        *[
-            F.max(F.when(F.col("attr") == attr, F.col("value"))).alias(name)
-            for name, attr in values.items()
-        ],
+    values = dict(values or {})
+    attr, value = F.col("attr"), F.col("value")
+    tests = [(attr == name) & (value == wanted) for name, wanted in equal.items()]
+    tests += [attr == name for name in present]
+    any_of = F.lit(False)
+    for test in [*tests, attr.isin(*values.values())]:
+        any_of = any_of | test
+    # Rows that meet no test are dropped before the shuffle; the tests are
+    # booleans, which Spark can aggregate by hash.
+    grouped = facts.filter(any_of).groupBy(*ENTITY).agg(
+        *[F.bool_or(test).alias(f"__{number}") for number, test in enumerate(tests)],
+        *[F.max(F.when(attr == name, value)).alias(column) for column, name in values.items()],
     )
-    for attr, value in equal.items():
-        grouped = grouped.filter(F.col(f"`__{attr}`") == value).drop(f"__{attr}")
-    return grouped.dropna(subset=list(values))
+    for number in range(len(tests)):
+        grouped = grouped.filter(f"__{number}").drop(f"__{number}")
+    return grouped.dropna(subset=list(values)) if values else grouped
 
 
 def entity_count(found: DataFrame, name: str = "n") -> DataFrame:

@@ -59,7 +59,9 @@ def facts(spark):
 def test_count_of_pattern(spark):
     f = facts(spark)
     both = fx.all_patterns(fx.pattern(f, "event/minute"), fx.pattern(f, "event/type", "card"))
-    once = fx.entities_where(f, {"event/type": "card"}, {"minute": "event/minute"})
+    once = fx.entities_where(f, {"event/type": "card"}, ["event/minute"])
+    kept = fx.entities_where(f, {"event/type": "card"}, values={"minute": "event/minute"})
+    assert [tuple(r) for r in kept.collect()] == [(1, 2, "5")]
     # A match without any is not in the result.
     assert [tuple(r) for r in fx.entity_count(both).collect()] == [(1, 1)]
     assert [tuple(r) for r in fx.entity_count(once).collect()] == [(1, 1)]
