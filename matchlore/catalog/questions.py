@@ -20,7 +20,7 @@ def length_gate(spark, folder):
     """
     documents = read_table(spark, folder, "documents", "doc_id", "text", spread=True)
     # The second text of a document: its words, one per line.
-    words = documents.select("doc_id", F.translate("text", " ", "\n").alias("words"))
+    words = documents.select("doc_id", F.replace("text", F.lit(" "), F.lit("\n")).alias("words"))
     gate = qs.long_enough(documents, "doc_id", min_lines=5)
     return gate.join(qs.long_enough(words, "doc_id", "words"), "doc_id", "left_semi")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The characters a token loses, besides digits.
 TOKEN_STRIP = ".-:;!@#$%^&*(){}"
-_DIGITS = "0123456789"
+TOKEN_DROP = "[0-9" + "".join("\\" + mark for mark in TOKEN_STRIP) + "]+"
 # White space as Unicode has it, line ends included.
 WHITE_SPACE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -24,10 +24,9 @@ def lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def stripped_lines(text: Column, keep_blank: bool = False) -> Column:
-    """The lines of a text, each stripped; blank ones dropped unless asked for."""
-    clean = F.transform(lines(text), strip)
-    return clean if keep_blank else F.filter(clean, lambda line: line != "")
+def count_filled_lines(text: Column) -> Column:
+    """How many lines of a text are not blank."""
+    return F.size(F.filter(lines(text), lambda line: strip(line) != ""))
 
 
 def strip_each_line(text: Column) -> Column:
@@ -39,7 +38,7 @@ def tokenize(text: Column) -> Column:
 
     Works on a line or on a whole text: a line break ends a word as well.
     """
-    bare = F.translate(F.lower(text), _DIGITS + TOKEN_STRIP, "")
+    bare = F.regexp_replace(F.lower(text), TOKEN_DROP, "")
     words = F.transform(F.split(bare, "[ \n]"), strip)
     return F.filter(words, lambda word: word != "")
 

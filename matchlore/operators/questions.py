@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import hash_number, seed_hash
-from matchlore.functions.text import stripped_lines
+from matchlore.functions.text import count_filled_lines
 from matchlore.operators.ordered import (
     GROUP_LIMIT, OrderedGroups, first_in_group, hash_ranked, largest_group,
 )
@@ -24,7 +24,7 @@ def long_enough(
     documents: DataFrame, key: str, text: str = "text", min_lines: int = MIN_LINES
 ) -> DataFrame:
     """Keys of texts with at least ``min_lines`` lines that are not blank."""
-    return documents.filter(F.size(stripped_lines(F.col(text))) >= min_lines).select(key)
+    return documents.filter(count_filled_lines(F.col(text)) >= min_lines).select(key)
 
 
 def gated(matches: DataFrame, key: str, *documents: tuple[DataFrame, str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchlore.functions.text import stripped_lines, tokenize
+from matchlore.functions.text import count_filled_lines, tokenize
 
 
 def histogram(df: DataFrame, value: Column, name: str = "value") -> DataFrame:
@@ -23,7 +23,7 @@ def events_per_match(matches: DataFrame, events: DataFrame, key: str = "match_id
 
 
 def line_histogram(documents: DataFrame, text: str = "text") -> DataFrame:
-    return histogram(documents, F.size(stripped_lines(F.col(text))), "lines")
+    return histogram(documents, count_filled_lines(F.col(text)), "lines")
 
 
 def token_histogram(documents: DataFrame, text: str = "text") -> DataFrame:
