@@ -46,8 +46,8 @@ def file_keys(spark, folder):
     key = F.col("doc_id").cast("string")
     names = (
         F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("/a/questions_"), key, F.lit(".dat")))
-        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("/a_7/match_report_"), key, F.lit(".txt")))
-        .otherwise(F.concat(F.lit("match_report_"), key, F.lit(".dl")))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("/a_7/report_"), key, F.lit(".txt")))
+        .otherwise(F.concat(F.lit("report_"), key, F.lit(".dl")))
     )
     return documents.select("doc_id", match_id_of_path(names).alias("match_id"))
 

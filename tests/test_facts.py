@@ -41,7 +41,7 @@ def test_written_text_reads_back(spark, tmp_path, part_size):
     if part_size == 100:
         folder = tmp_path / "facts"
         folder.mkdir()
-        (folder / "match_report_3.dl").write_text(written.first()["text"])
+        (folder / "report_3.dl").write_text(written.first()["text"])
         files = ft.read_fact_files(spark, str(folder))
         read = files.select(ft.match_id_of_path(F.col("path")).alias("match_id"), "text")
         again = fx.maps_to_facts(ft.fact_maps(read, "match_id"), "match_id")

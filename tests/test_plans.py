@@ -103,11 +103,11 @@ def test_new_fact_files_are_taken_once(spark, tmp_path):
     source, target = tmp_path / "in", tmp_path / "out"
     source.mkdir()
     body = ';;# data\n[\n{{:match/id "match_{0}"\n:match/score "0:0"}}\n]\n'
-    (source / "match_report_1.dl").write_text(body.format(1))
+    (source / "report_1.dl").write_text(body.format(1))
     for expected in (2, 2):
         incremental.take_new_fact_files(spark, str(source), str(target), str(tmp_path / "state"))
         assert spark.read.parquet(str(target)).count() == expected
-    (source / "match_report_2.dl").write_text(body.format(2))
+    (source / "report_2.dl").write_text(body.format(2))
     incremental.take_new_fact_files(spark, str(source), str(target), str(tmp_path / "state"))
     read = spark.read.parquet(str(target))
     assert {r["match_id"] for r in read.collect()} == {1, 2} and read.count() == 4
