@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.functions.text import count_filled_lines
 from matchlore.operators.ordered import (
-    GROUP_LIMIT, OrderedGroups, first_in_group, hash_ranked, largest_group,
+    GROUP_LIMIT, OrderedGroups, first_in_group, largest_group,
 )
 
 # Fixed values of question generation.
@@ -97,27 +97,28 @@ def negatives_wanted(questions: Column) -> Column:
     return F.floor(questions / NEGATIVE_SHARE).cast("bigint") + 1
 
 
-def _starts(counts: DataFrame, key: str, seed: int) -> DataFrame:
+def _starts(counts: DataFrame, key: str, seed: int, digits: int = 3) -> DataFrame:
     """Adds ``start`` and ``total`` to (key, questions): running totals over the
-    seeded order of the keys, taken per block of 4,096 keys and then inside it."""
-    ordered = hash_ranked(counts, [key], seed, "__rank")
-    ordered = ordered.withColumn("__block", F.floor(F.col("__rank") / 4096))
-    blocks = Window.orderBy("__block")
+    seeded order of the keys, taken per hash bucket and then inside it. There
+    are 16**digits buckets at most, hence the broadcast."""
+    hashed = counts.withColumn("__hash", seed_hash(seed, F.col(key)))
+    hashed = hashed.withColumn("__bucket", F.substring("__hash", 1, digits))
+    buckets = Window.orderBy("__bucket")
     totals = (
-        ordered.groupBy("__block")
+        hashed.groupBy("__bucket")
         .agg(F.sum("questions").alias("__n"))
         .select(
-            "__block",
-            (F.sum("__n").over(blocks) - F.col("__n")).alias("__before"),
+            "__bucket",
+            (F.sum("__n").over(buckets) - F.col("__n")).alias("__before"),
             F.sum("__n").over(Window.partitionBy()).alias("total"),
         )
     )
-    inside = Window.partitionBy("__block").orderBy("__rank")
+    inside = Window.partitionBy("__bucket").orderBy("__hash", key)
     before = F.sum("questions").over(inside) - F.col("questions")
     return (
-        ordered.join(totals, "__block")
+        hashed.join(F.broadcast(totals), "__bucket")
         .withColumn("start", F.col("__before") + before)
-        .drop("__block", "__before", "__rank")
+        .drop("__bucket", "__before", "__hash")
     )
 
 
