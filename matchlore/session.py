@@ -27,24 +27,24 @@ def local_session(cpus: int | str = 8, app: str = "matchlore", **conf: str) -> S
     return spark
 
 
-def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the setting is missing only a local master may fall back to a
-    temporary folder: on a cluster such a folder is lost with its machine.
+    Where the setting is missing only a local master gets a folder of its own:
+    on a cluster such a folder is lost with its machine.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="matchlore-checkpoint-")
-    context.setCheckpointDir(shared)
+        shared = tempfile.mkdtemp(prefix="matchlore-shared-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared
 
 
 def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` with a checkpoint that outlives its executors."""
-    use_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
