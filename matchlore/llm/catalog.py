@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlore.llm import fmindex, mixing, packing, quality, simhash, suffixes
+from matchlore.llm import fmindex, html, languages, links, mixing, packing, quality, simhash, suffixes, vantage
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
 
 
+def op1_html_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extracted(_table(spark, folder, "pages", "page_id", "url", "html"))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(_table(spark, folder, "documents", "doc_id", "text"))
 
@@ -30,6 +34,10 @@ def op5_fm_index(spark: SparkSession, folder: str) -> DataFrame:
     return fmindex.word_digests(_table(spark, folder, "documents", "doc_id", "text"))
 
 
+def op6_language_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.identified(_table(spark, folder, "documents", "doc_id", "text", "lang"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed_sizes(_table(spark, folder, "documents", "doc_id", "text", "source"))
 
@@ -38,13 +46,25 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_verdicts(_table(spark, folder, "documents", "doc_id", "text", "lang", "source"))
 
 
+def op9_vantage_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return vantage.nearest(_table(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
+    return links.judged(_table(spark, folder, "pages", "page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_blocks": op1_html_blocks,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_simhash": op3_simhash,
     "op4_suffix_array": op4_suffix_array,
     "op5_fm_index": op5_fm_index,
+    "op6_language_codes": op6_language_codes,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
+    "op9_vantage_trees": op9_vantage_trees,
+    "op10_url_trust": op10_url_trust,
 }
 
 SQL: dict[str, str] = {}
