@@ -138,6 +138,7 @@ def mixed_documents(docs: DataFrame, seed: int = 42, **options) -> DataFrame:
     names = docs.columns
     sized = stored(docs.select("doc_id", "source", text_size().alias("size")), "mixing-sizes")
     goals = small(stored(cuts(sized, seed, **options), "mixing-cuts"), 10_000)
+    goals = goals.select("_source", "_whole", "_cut", "_peers", "_left")
     joined = docs.withColumn("_key", _key(seed)).join(goals, docs["source"].eqNullSafe(goals["_source"]), "left")
     more = (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & (2 * F.col("_left") >= F.col("_peers")))
     times = F.col("_whole") + F.coalesce(more, F.lit(False)).cast("long")

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from matchlore.llm.shared import stored
 
@@ -228,9 +229,13 @@ def classes(printed: DataFrame, bits: int = 3) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, bits: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
-    """One document of each component, the one of least id, with all its columns."""
+    """One document of each component, the one of least id, with all its columns.
+
+    Rows that share an id are one document, of which one row stays. Rows without an id cannot be named and stay.
+    """
     names = docs.columns
     found = near_duplicates(docs, bits, size, seed)
-    kept = found.groupBy("component_id").agg(F.min("doc_id").alias("_kept")).select("_kept")
+    kept = stored(found.select(F.col("component_id").alias("_kept")).where("_kept is not null").distinct(), "kept-documents")
     joined = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return joined.dropDuplicates(["doc_id"]).select(*names)
+    once = joined.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("_nth = 1")
+    return once.select(*names).union(docs.where("doc_id is null"))
