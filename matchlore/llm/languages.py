@@ -70,8 +70,8 @@ def _runs(texts: list[str], size: int = 1 << 19, rows: int = 256) -> Iterator[li
 def codewords(count: int, seed: int = 42) -> np.ndarray:
     """Signs, a row per language: all useful splits of up to seven, else seeded random ones."""
     if count <= 7:
-        columns = [c for c in product((1, -1), repeat=count) if c[0] == 1 and -1 in c]
-        return np.array(columns, np.int8).reshape(-1, count).T
+        columns = [(1, *c) for c in product((1, -1), repeat=max(0, count - 1)) if -1 in c]
+        return np.array(columns, np.int8).reshape(-1, max(1, count)).T[:count]
     bits = int(np.ceil(15 * np.log2(count)))
     drawn = np.random.default_rng(seed)
     while True:
