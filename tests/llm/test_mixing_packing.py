@@ -132,8 +132,8 @@ def test_packed_documents(docs, rows, block):
         assert at <= capacity
 
 
-def test_chunks_give_the_ids_of_the_text(rows):
-    tokenizer, encode = Tokenizer.from_file(packing.VOCABULARY), packing.Encoder(packing.VOCABULARY, limit=50)
+def test_ranks_give_the_ids_of_the_tokenizer(rows):
+    tokenizer, encode = Tokenizer.from_file(packing.VOCABULARY), packing.Encoder(packing.VOCABULARY)
     drawn = random.Random(4)
     odd = ["".join(drawn.choice(" \n\t\u00a0ab1.é'<|s\u2028\x1c") for _ in range(40)) for _ in range(300)]
     for text in [*odd, *(r[1] or "" for r in rows), "nul\0 and blank", "<|endoftext|> a <|endoftext|>"]:
