@@ -132,7 +132,8 @@ def repeated(texts: DataFrame, occurrences: Callable[[pa.Array], pa.Array], seve
         again = per_anchor.agg(F.min("_id").alias("a"), F.max("_id").alias("b")).where("a < b").select("anchor")
     else:
         again = per_anchor.agg(F.count("*").alias("c")).where("c > 1").select("anchor")
-    return stored(every.join(again, "anchor"), "repeated-anchors")
+    # stored first: a join of two plain shuffles is one that Spark can split where an anchor is hot
+    return stored(every.join(stored(again, "anchors-again"), "anchor"), "repeated-anchors")
 
 
 def with_segments(classes: DataFrame, texts: DataFrame, cut: Callable[[bytes, int, int], bytes]) -> DataFrame:
