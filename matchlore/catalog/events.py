@@ -33,7 +33,7 @@ def _xml_matches(spark, folder):
     )
     second = _element(
         id="o_orderkey + 1", elapsed="o_orderkey % 45", player1="'Unknown Player'",
-        team="o_orderkey % 90 + 1000", type="'goal'", subtype="'a &amp; b'", note="o_orderpriority",
+        team="o_orderkey % 90 + 1000", type="'goal'", subtype="'&lt;a &amp; b'", note="o_orderpriority", nested="'<x>1</x>'",
     )
     card = _element(
         id="o_orderkey", elapsed="o_custkey % 90", card_type="if(o_orderkey % 2 = 0, 'y2', 'r')",
@@ -194,7 +194,7 @@ _ELEMENTS = """el AS (
     CAST(NULL AS VARCHAR) AS note, 0 AS extras
   FROM orders WHERE o_orderstatus IN ('F', 'O')
   UNION ALL SELECT o_orderkey, 'goal', 0, 1, o_orderkey % 45, NULL, 0, CAST(o_orderkey + 1 AS VARCHAR), 'goal',
-    NULL, 'Unknown Player', NULL, CAST(o_orderkey % 90 + 1000 AS VARCHAR), 'a & b', NULL, NULL, NULL,
+    NULL, 'Unknown Player', NULL, CAST(o_orderkey % 90 + 1000 AS VARCHAR), '<a & b', NULL, NULL, NULL,
     NULL, NULL, o_orderpriority, 1
   FROM orders WHERE o_orderstatus = 'F'
   UNION ALL SELECT o_orderkey, 'card', 4, 0, o_custkey % 90, NULL, 0, CAST(o_orderkey AS VARCHAR), 'card', NULL,

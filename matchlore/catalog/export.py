@@ -21,7 +21,10 @@ def question_ids(spark, folder):
 
 
 def repeated_ids(spark, folder):
-    return export.repeated_ids(question_ids(spark, folder))
+    """Ids of three digits, which are not enough for the events."""
+    events = read_table(spark, folder, "events", "event_id", "event_type")
+    ids = export.question_id(F.col("event_type"), st.SEED, F.col("event_id"), low=100, high=999)
+    return export.repeated_ids(events.select(ids.alias("id")))
 
 
 def document_titles(spark, folder):
@@ -56,7 +59,7 @@ def joined_sources(spark, folder):
     """Questions with the text and the label of their document."""
     documents = read_table(spark, folder, "documents", "doc_id", "lang", "source", "text")
     questions = documents.select("doc_id", F.concat_ws(" ", F.lit("Language of"), "source").alias("question"))
-    reports = documents.select("doc_id", F.length("text").cast("bigint").alias("characters"))
+    reports = documents.select("doc_id", "text")
     labels = read_table(spark, folder, "labels").select(
         "doc_id", F.col("quality").cast("bigint").alias("quality")
     )
@@ -70,6 +73,7 @@ def _asked(spark, folder):
     answer = (
         F.when(key % 3 == 0, F.col("minute").cast("string"))
         .when(key % 6 == 1, F.col("player1"))
+        .when(key % 30 == 4, "zzz ")
         .when(key % 6 == 4, F.concat(F.lit("Max "), F.substring_index("player1", " ", -1)))
         .otherwise(F.coalesce("sortorder", F.lit(7)).cast("string"))
     )
@@ -87,7 +91,7 @@ def _asked(spark, folder):
 
 
 def _dataset(spark, folder):
-    contexts = qa.single_texts(sp.reports_of(spark, folder), "context", "context")
+    contexts = sp.reports_of(spark, folder)
     texts = st.match_numbers(spark, folder).select("match_id", F.col("league").alias("datalog"))
     return qa.dataset(_asked(spark, folder), contexts, texts, st.SEED)
 
@@ -95,8 +99,8 @@ def _dataset(spark, folder):
 def nested_export(spark, folder):
     """Nested documents of the whole event table, flattened to one row per answer."""
     documents = _dataset(spark, folder).documents
-    paragraphs = documents.select(
-        "version", "split", "title", F.explode("paragraphs").alias("p")
+    paragraphs = documents.select("version", "split", F.explode("data").alias("d")).select(
+        "version", "split", "d.title", F.explode("d.paragraphs").alias("p")
     ).select("version", "split", "title", F.length("p.context").alias("size"), F.explode("p.qas").alias("qa"),
              F.col("p.context").alias("context"))
     rows = paragraphs.select("version", "split", "title", "size", "context", "qa.*").select(
@@ -122,13 +126,14 @@ QUERIES = {
     )
 }
 
-_ID = """event_type || '_' || (10000000
-   + CAST('0x' || substr(md5('42:' || event_type || ':' || event_id), 1, 15) AS BIGINT) % 90000000)"""
+_ID = """event_type || '_' || ({low}
+   + CAST('0x' || substr(md5('42:' || event_type || ':' || event_id), 1, 15) AS BIGINT) % {span})"""
 
 _DATASET = f"""{sp._REPORTS},
  asked AS (SELECT match_id, eid, event_kind AS rule, 'Question ' || eid || '?' AS question,
    CASE eid % 3 WHEN 0 THEN 'minute' WHEN 1 THEN 'text' ELSE 'numeric' END AS answertype,
    CASE WHEN eid % 3 = 0 THEN CAST(minute AS VARCHAR) WHEN eid % 6 = 1 THEN player1
+     WHEN eid % 30 = 4 THEN 'zzz '
      WHEN eid % 6 = 4 THEN 'Max ' || string_split(player1, ' ')[-1]
      ELSE CAST(coalesce(sortorder, 7) AS VARCHAR) END AS answer,
    eid % 7 = 0 AS is_impossible FROM ev),
@@ -152,7 +157,7 @@ _DATASET = f"""{sp._REPORTS},
    string_split(context, chr(10))[1] AS title, string_split(answer, ' ')[-1] AS word
    FROM x LEFT JOIN num ON doc = match_id),
  occ AS (SELECT eid, word, strpos(context, word) AS pos, substr(context, strpos(context, word) + 1) AS rest
-   FROM y WHERE NOT is_impossible AND answertype = 'text' AND NOT contains(context, answer) AND contains(context, word)
+   FROM y WHERE NOT is_impossible AND answertype = 'text' AND NOT contains(context, answer) AND word <> '' AND contains(context, word)
    UNION ALL SELECT eid, word, pos + strpos(rest, word), substr(rest, strpos(rest, word) + 1)
    FROM occ WHERE contains(rest, word)),
  ans AS (
@@ -167,14 +172,14 @@ _DATASET = f"""{sp._REPORTS},
      WHERE NOT is_impossible AND answertype = 'numeric')"""
 
 SQL = {
-    "question_ids": f"SELECT event_id, {_ID} AS id FROM events",
-    "repeated_ids": f"SELECT {_ID} AS id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1",
+    "question_ids": f"SELECT event_id, {_ID.format(low=10000000, span=90000000)} AS id FROM events",
+    "repeated_ids": f"SELECT {_ID.format(low=100, span=900)} AS id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1",
     "document_titles": f"""SELECT doc_id, string_split({st.strip_sql('text')}, chr(10))[1] AS title
         FROM documents""",
     "answertype_override": """SELECT event_id, CASE WHEN event_type = 'click' THEN 'numeric' ELSE 'text' END
         AS answertype, event_id % 6 = 0 AS is_impossible FROM events""",
     "file_keys": "SELECT doc_id, doc_id AS match_id FROM documents",
-    "joined_sources": """SELECT doc_id, 'Language of ' || source AS question, length(text) AS characters,
+    "joined_sources": """SELECT doc_id, 'Language of ' || source AS question, text,
         CAST(quality AS BIGINT) AS quality FROM documents JOIN labels USING (doc_id)""",
     "nested_export": f"""WITH RECURSIVE {_DATASET} SELECT '2.0' AS version, split, title,
           length(full_context) AS size, rule, question, answertype, is_impossible, text, answer_start,

@@ -133,7 +133,7 @@ def ref_traverse(spark, folder):
 def multi_value(spark, folder):
     """Several names of one conversation as facts of their own."""
     talks = read_table(spark, folder, "conversations", "conv_id", "turn", "role", "text")
-    words = F.slice(F.split("text", " "), 1, 3)
+    words = F.split("text", " ")
     return fx.multi_valued(talks.select("conv_id", "turn", words.alias("aka")), "aka", "name")
 
 
@@ -266,7 +266,7 @@ SQL = {
         WHERE player1 IN (SELECT 'Ana Maria P' || (p_partkey % 4) FROM part) GROUP BY 1""",
     "ref_traverse": """SELECT o_orderkey, n_name AS name FROM orders
         JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey""",
-    "multi_value": """SELECT conv_id, turn, unnest(string_split(text, ' ')[1:3]) AS name
+    "multi_value": """SELECT conv_id, turn, unnest(string_split(text, ' ')) AS name
         FROM conversations""",
     "chained_query": f"""WITH {_CHAIN} SELECT match_id, coalesce(s2.value, s1.value) AS value,
         s2.value AS strict_value FROM s1 LEFT JOIN s2 USING (match_id)""",

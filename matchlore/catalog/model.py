@@ -74,8 +74,18 @@ def team_lookup(spark, folder):
     twice = teams.unionByName(
         teams.withColumn("id", F.col("id") + 1000).withColumn("team_long_name", F.lit("second"))
     )
-    found = model.lookup_team(events, "team_key", twice, "team")
-    return found.select("eid", "team_id", "team_api_id", "team_longname", "team_shortname")
+    named = ("team_id", "team_api_id", "team_longname", "team_shortname")
+    keys = {
+        "team_api_id": F.col("team_key"), "id": F.col("team_key") - 1000,
+        "team_short_name": F.concat(F.lit("S"), (F.col("team_key") - 1000).cast("string")),
+    }
+    found = [
+        model.lookup_team(events.select("eid", key.alias("k")), "k", twice, "team", attr).select(
+            F.lit(attr).alias("attr"), "eid", *named
+        )
+        for attr, key in keys.items()
+    ]
+    return found[0].union(found[1]).union(found[2])
 
 
 def player_lookup(spark, folder):
@@ -149,7 +159,10 @@ def _synthetic(spark, folder, distinct):
     leagues = model.leagues_with_country(st.leagues(spark, folder), st.countries(spark, folder))
     teams = st.teams(spark, folder)
     pairs = teams.select("league_id", F.col("id").alias("team_id"))
-    templates = st.matches(spark, folder).select(F.col("id").alias("match_id"))
+    templates = st.matches(spark, folder).select(
+        F.col("id").alias("match_id"), F.col("home_team_goal").alias("home_goals"),
+        F.col("away_team_goal").alias("away_goals"),
+    )
     return model.synthesize_matches(templates, leagues, pairs, teams, st.SEED, distinct)
 
 
@@ -157,6 +170,16 @@ def synthesize(spark, folder):
     return _synthetic(spark, folder, True)
 
 
+def synthetic_events(spark, folder):
+    """Events per synthetic match: a copy has all events of its template."""
+    copies = _synthetic(spark, folder, True)
+    events = model.synthetic_events(copies, st.match_events(spark, folder))
+    counts = events.groupBy("template_id").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("event_kind").alias("kinds")
+    )
+    return counts.join(copies.select("template_id", "home_goals"), "template_id")
+
+
 def synthesize_with_replacement(spark, folder):
     return _synthetic(spark, folder, False)
 
@@ -167,7 +190,7 @@ QUERIES = {
         dim_scan_pruned, age_in_years, timestamp_parse, result_label, winner_versus,
         league_country_left, star_role_playing, team_lookup, player_lookup, lineup_unpivot,
         matches_with_events, point_lookup, match_count, goals_by_side, league_teams, sample_one,
-        synthesize, synthesize_with_replacement,
+        synthesize, synthesize_with_replacement, synthetic_events,
     )
 }
 
@@ -187,7 +210,7 @@ _OVERVIEW = f"""{st.TEAMS_SQL}, {st.MATCHES_SQL}, {st.LEAGUES_SQL}, overview AS
 
 def _synthesize_sql(away: str) -> str:
     number = "CAST('0x' || substr(md5('42:' || t.match_id || ':{}'), 1, 15) AS BIGINT)"
-    return f"""WITH {st.TEAMS_SQL}, {st.LEAGUES_SQL},
+    return f"""WITH {st.TEAMS_SQL}, {st.LEAGUES_SQL}, {st.MATCHES_SQL},
  usable AS (SELECT l.id, l.name AS league, r.r_name AS country FROM leagues l
    JOIN region r ON r.r_regionkey = l.country_id WHERE l.id IN (SELECT league_id FROM teams)),
  c AS (SELECT country, row_number() OVER (ORDER BY md5('42:' || country), country) - 1 AS no,
@@ -196,12 +219,13 @@ def _synthesize_sql(away: str) -> str:
          count(*) OVER (PARTITION BY country) AS n FROM usable),
  x AS (SELECT *, row_number() OVER (PARTITION BY league_id ORDER BY id) - 1 AS no,
          count(*) OVER (PARTITION BY league_id) AS n FROM teams),
- t AS (SELECT o_orderkey AS match_id FROM orders),
- lc AS (SELECT t.match_id, l.id AS league_id, l.country, l.league FROM t
+ t AS (SELECT id AS match_id, home_team_goal AS home_goals, away_team_goal AS away_goals FROM matches),
+ lc AS (SELECT t.*, l.id AS league_id, l.country, l.league FROM t
    JOIN c ON c.no = {number.format('country')} % c.n
    JOIN l ON l.country = c.country AND l.no = {number.format('league')} % l.n)
  SELECT t.match_id AS template_id, CAST(-1 AS BIGINT) AS match_id, CAST(-1 AS BIGINT) AS match_api_id,
-   t.country, t.league, h.team_long_name AS hometeam, a.team_long_name AS awayteam
+   t.country, t.league, h.team_long_name AS hometeam, a.team_long_name AS awayteam,
+   t.home_goals, t.away_goals
  FROM lc t JOIN x h ON h.league_id = t.league_id AND h.no = {number.format('home')} % h.n
  JOIN x a ON a.league_id = t.league_id AND a.no = {away.format(number=number.format('away'))}"""
 
@@ -221,9 +245,10 @@ SQL = {
     "league_country_left": f"""WITH {st.LEAGUES_SQL} SELECT l.id, l.name AS league, r_name AS country
         FROM leagues l LEFT JOIN region ON r_regionkey = l.country_id""",
     "star_role_playing": f"WITH {_OVERVIEW} SELECT * FROM overview",
-    "team_lookup": f"""WITH {st.TEAMS_SQL}, {st.EVENTS_SQL} SELECT eid, t.id AS team_id,
+    "team_lookup": f"""WITH {st.TEAMS_SQL}, {st.EVENTS_SQL} SELECT attr, eid, t.id AS team_id,
         t.team_api_id, t.team_long_name AS team_longname, t.team_short_name AS team_shortname
-        FROM ev LEFT JOIN teams t ON eid % 3 <> 0 AND t.team_api_id = match_id + 1000""",
+        FROM ev CROSS JOIN (SELECT unnest(['team_api_id', 'id', 'team_short_name']) AS attr)
+        LEFT JOIN teams t ON eid % 3 <> 0 AND t.team_api_id = match_id + 1000""",
     "player_lookup": """SELECT event_id AS eid,
         CASE WHEN event_id % 10 = 0 THEN -1 WHEN event_id % 10 = 1 THEN NULL
              WHEN s_suppkey IS NULL THEN user_id ELSE s_suppkey + 5000 END AS player_id,
@@ -259,5 +284,8 @@ SQL = {
     "sample_one": """SELECT c_custkey AS match_id, c_name AS hometeam FROM customer
         ORDER BY md5('42:' || c_custkey), c_custkey LIMIT 1""",
     "synthesize": _synthesize_sql("(h.no + 1 + {number} % greatest(h.n - 1, 1)) % h.n"),
+    "synthetic_events": f"""WITH {st.MATCHES_SQL}, {st.EVENTS_SQL} SELECT m.id AS template_id,
+        home_team_goal AS home_goals, count(*) AS events, count(DISTINCT event_kind) AS kinds
+        FROM ev JOIN matches m ON m.id = match_id GROUP BY 1, 2""",
     "synthesize_with_replacement": _synthesize_sql("{number} % a.n"),
 }

@@ -102,9 +102,7 @@ def report_text(spark, folder):
         "match_id", F.concat_ws(" vs. ", "hometeam", "awayteam").alias("header")
     )
     lines = reports.with_header(_lines(spark, folder), headers)
-    return reports.joined_lines(lines).select(
-        "match_id", F.col("part").cast("bigint").alias("part"), "context"
-    )
+    return reports.joined_lines(lines)
 
 
 def event_dump(spark, folder):
@@ -250,7 +248,7 @@ SQL = {
         u AS (SELECT match_id, line_no, line FROM lines
           UNION ALL SELECT match_id, -1, hometeam || ' vs. ' || awayteam FROM mn
           UNION ALL SELECT match_id, 0, '' FROM mn)
-        SELECT match_id, CAST(0 AS BIGINT) AS part, string_agg(line, chr(10) ORDER BY line_no) AS context
+        SELECT match_id, string_agg(line, chr(10) ORDER BY line_no) AS context
         FROM u GROUP BY 1""",
     "event_dump": f"""WITH {st.EVENTS_SQL} SELECT eid, 'Event ' || event_kind || ' @ minute ' || minute
         || ' (team: ' || coalesce(team, 'None') || ')' || chr(10)

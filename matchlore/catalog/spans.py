@@ -110,8 +110,7 @@ def answer_contained(spark, folder):
         "conv_id", F.col("turn").alias("line_no"), tx.minute_line(F.col("turn"), F.col("text")).alias("line")
     )
     contexts = reports.joined_lines(lines, "conv_id")
-    sentence = F.substring_index("text", ".", 1)
-    own = talks.select("conv_id", F.lit(True).alias("own"), "turn", sentence.alias("answer"))
+    own = talks.select("conv_id", F.lit(True).alias("own"), "turn", F.col("text").alias("answer"))
     later = own.withColumn("conv_id", F.col("conv_id") + 1).withColumn("own", F.lit(False))
     pairs = own.unionByName(later).join(contexts, "conv_id")
     return spans.contained(pairs).select("conv_id", "own", "turn", "answer")
@@ -146,7 +145,7 @@ def numeric_choices(spark, folder):
 
 def numeric_line(spark, folder):
     choices = spans.numeric_choices(_numeric_answers(spark, folder), "doc", st.SEED)
-    return spans.choice_line(choices, "doc").select("doc", F.col("part").cast("bigint").alias("part"), "numbers")
+    return spans.choice_line(choices, "doc")
 
 
 def span_numeric(spark, folder):
@@ -174,23 +173,28 @@ def _marked_texts(spark, folder):
     line = F.split("text", "\n")
     marked = F.transform(
         line,
-        lambda x: F.when(x.startswith("A"), F.concat(F.lit(" ;;# "), F.substring(x, 1, 6)))
+        lambda x: F.when(x.startswith("A"), F.concat(F.lit(" ;;# "), x))
         .when(x.startswith("I"), F.concat(F.lit(";; "), x))
         .otherwise(x),
     )
     return documents.select("doc_id", F.array_join(marked, "\n").alias("text"))
 
 
+def _labelled(spark, folder):
+    texts = _marked_texts(spark, folder)
+    lines = sections.numbered_lines(texts, "doc_id", "text")
+    # marking adds no line feeds, so the given texts tell how many lines there are
+    longest = sections.most_lines(read_table(spark, folder, "documents", "text"), "text")
+    return sections.labelled_lines(lines, "doc_id", largest=longest)
+
+
 def section_label(spark, folder):
-    lines = sections.numbered_lines(_marked_texts(spark, folder), "doc_id", "text")
-    labelled = sections.labelled_lines(lines, "doc_id")
+    labelled = _labelled(spark, folder)
     return labelled.withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 def section_text(spark, folder):
-    lines = sections.numbered_lines(_marked_texts(spark, folder), "doc_id", "text")
-    texts = sections.section_texts(sections.labelled_lines(lines, "doc_id"), "doc_id")
-    return texts.withColumn("part", F.col("part").cast("bigint"))
+    return sections.section_texts(_labelled(spark, folder), "doc_id")
 
 
 def trace_records(spark, folder):
@@ -255,7 +259,7 @@ _CHOICES = """n AS (SELECT o_custkey AS doc,
 _MARKED = f"""parts AS (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents),
  raw AS (SELECT doc_id, unnest(range(len(x))) AS line_no, unnest(x) AS y FROM parts),
  m AS (SELECT doc_id, line_no, CASE WHEN y LIKE 'A%' THEN NULL ELSE {st.strip_sql("y")} END AS line,
-   CASE WHEN y LIKE 'A%' THEN lower(rtrim(substr(y, 1, 6))) END AS head, y LIKE 'I%' AS comment FROM raw),
+   CASE WHEN y LIKE 'A%' THEN lower({st.strip_sql("y")}) END AS head, y LIKE 'I%' AS comment FROM raw),
  s AS (SELECT doc_id, line_no, coalesce(last_value(head IGNORE NULLS) OVER (
      PARTITION BY doc_id ORDER BY line_no), 'data') AS section, line
    FROM m QUALIFY head IS NULL AND NOT comment)"""
@@ -294,15 +298,15 @@ SQL = {
         SELECT doc_id, kind, word AS text, pos - 1 AS answer_start FROM o""",
     "answer_contained": f"""WITH ctx AS (SELECT conv_id, string_agg(turn || ': ' || {st.strip_sql('text')}, chr(10)
           ORDER BY turn) AS context FROM conversations GROUP BY 1),
-        p AS (SELECT conv_id, true AS own, turn, string_split(text, '.')[1] AS answer FROM conversations
-          UNION ALL SELECT conv_id + 1, false, turn, string_split(text, '.')[1] FROM conversations)
+        p AS (SELECT conv_id, true AS own, turn, text AS answer FROM conversations
+          UNION ALL SELECT conv_id + 1, false, turn, text FROM conversations)
         SELECT conv_id, own, turn, answer FROM p JOIN ctx USING (conv_id) WHERE contains(context, answer)""",
     "unquote_answers": f"""WITH q AS (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '''' || c_name || ''''
           WHEN 1 THEN '"''' || c_name || '''"' WHEN 2 THEN '''O\\''' || c_name || '"'
           WHEN 3 THEN '''''''''' || c_name ELSE c_name END AS raw FROM customer)
         SELECT c_custkey, raw, {_UNQUOTED.format('raw')} AS answer FROM q""",
     "numeric_choices": f"WITH {_CHOICES} SELECT * FROM choices",
-    "numeric_line": f"""WITH {_CHOICES} SELECT doc, CAST(0 AS BIGINT) AS part,
+    "numeric_line": f"""WITH {_CHOICES} SELECT doc,
         string_agg(rtrim(repeat('NUM' || value || ' ', copies)), ' ' ORDER BY value) AS numbers
         FROM choices GROUP BY 1""",
     "span_numeric": f"""WITH {_CHOICES} SELECT n.doc, rule, n.value, n.doc + 2 + "offset" AS answer_start
@@ -310,7 +314,7 @@ SQL = {
     "unwrap_result": """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name
         WHEN 1 THEN '[' || c_name || ']' WHEN 2 THEN '[' || c_name ELSE '' END AS result FROM customer""",
     "section_label": f"WITH {_MARKED} SELECT * FROM s",
-    "section_text": f"""WITH {_MARKED} SELECT doc_id, section, CAST(0 AS BIGINT) AS part,
+    "section_text": f"""WITH {_MARKED} SELECT doc_id, section,
         {st.strip_sql("string_agg(line, chr(10) ORDER BY line_no)")} AS text FROM s GROUP BY 1, 2""",
     "trace_records": """WITH r AS (SELECT user_id, ts, event_id, event_type AS k, sum(CASE WHEN event_type = 'view'
           THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS record FROM events)

@@ -25,19 +25,13 @@ TEXT_TAGS = (
 
 
 def clean_tags(tags: Column) -> Column:
-    """Lower-cased, renamed tags with stripped values; ignored and empty ones dropped.
-
-    A tag with nested elements has no text of its own and counts as empty.
-    """
+    """Lower-cased, renamed tags with stripped values; ignored and empty ones dropped."""
     lowered = F.transform_values(
         F.transform_keys(tags, lambda tag, _: strip(F.lower(tag))), lambda _, value: strip(value)
     )
     kept = F.map_filter(
         lowered,
-        lambda tag, value: ~tag.isin(*IGNORED_TAGS)
-        & value.isNotNull()
-        & (value != "")
-        & ~value.startswith("<"),
+        lambda tag, value: ~tag.isin(*IGNORED_TAGS) & value.isNotNull() & (value != ""),
     )
 
     def renamed(tag: Column, _: Column) -> Column:

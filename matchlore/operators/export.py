@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.functions.text import first_line, strip
-from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, hash_ranked
+from matchlore.operators.ordered import hash_ranked
 
 # Fixed values of the export.
 VERSION = "2.0"
@@ -43,10 +43,10 @@ def answertype_of(rule: Column, answertype: Column) -> Column:
     return F.when(rule == NUMERIC_RULE, "numeric").otherwise(answertype)
 
 
-def question_id(rule: Column, seed: int, *keys: Column) -> Column:
+def question_id(rule: Column, seed: int, *keys: Column, low: int = ID_LOW, high: int = ID_HIGH) -> Column:
     """``rule_{8 digits}`` drawn by the question's key; see ``repeated_ids``."""
-    span = ID_HIGH - ID_LOW + 1
-    number = F.pmod(hash_number(seed_hash(seed, rule, *keys)), F.lit(span)) + ID_LOW
+    span = high - low + 1
+    number = F.pmod(hash_number(seed_hash(seed, rule, *keys)), F.lit(span)) + low
     return F.concat_ws("_", rule, number.cast("string"))
 
 
@@ -97,29 +97,16 @@ def question_records(questions: DataFrame, answers: DataFrame, key: str) -> Data
 RECORD = ("rule", "category", "question", "answertype", "query", "id", "is_impossible", "answers")
 
 
-def nested_documents(
-    records: DataFrame,
-    documents: DataFrame,
-    key: str,
-    part_size: int = 10_000,
-    limit: int = GROUP_LIMIT,
-    largest: int | None = None,
-) -> DataFrame:
-    """One row (version, split, part, title, paragraphs) per document.
+def nested_documents(records: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """One row (version, split, data) per document; ``data`` holds the one document.
 
-    ``documents`` has (key, split, context, datalog). A document with more than
-    ``part_size`` questions comes as several rows with the same title, so that
-    no task collects an unbounded document; documents without questions stay.
+    ``documents`` has (key, split, context, datalog); documents without questions stay. The
+    questions of a document are bounded by the cap of questions per match.
     """
-    order = [F.col("id"), F.col("question")]
-    numbered = OrderedGroups(records, [key], order, limit, largest).number("__no", start=0).df
     fields = [F.col(c).alias("datalog" if c == "query" else c) for c in RECORD]
-    grouped = (
-        numbered.withColumn("part", F.floor(F.col("__no") / part_size).cast("int"))
-        .groupBy(key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("__no", F.struct(*fields).alias("qa")))).alias("qas"))
-        .withColumn("qas", F.transform("qas", lambda item: item["qa"]))
-    )
+    ordered = F.struct("id", "question", F.struct(*fields).alias("qa"))
+    grouped = records.groupBy(key).agg(F.array_sort(F.collect_list(ordered), _by_id).alias("qas"))
+    grouped = grouped.withColumn("qas", F.transform("qas", lambda item: item["qa"]))
     joined = documents.join(grouped, key, "left")
     none = F.array().cast(grouped.schema["qas"].dataType)
     paragraph = F.struct(
@@ -127,15 +114,18 @@ def nested_documents(
         strip(F.col("datalog")).alias("datalog"),
         F.coalesce("qas", none).alias("qas"),
     )
-    return joined.select(
-        F.lit(VERSION).alias("version"),
-        "split",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        title_of(F.col("context")).alias("title"),
-        F.array(paragraph).alias("paragraphs"),
-    )
+    document = F.struct(title_of(F.col("context")).alias("title"), F.array(paragraph).alias("paragraphs"))
+    return joined.select(F.lit(VERSION).alias("version"), "split", F.array(document).alias("data"))
+
+
+def _by_id(left: Column, right: Column) -> Column:
+    def compared(name: str) -> Column:
+        return F.when(left[name] < right[name], -1).when(left[name] > right[name], 1)
+
+    return F.coalesce(compared("id"), compared("question"), F.lit(0))
 
 
 def write_documents(nested: DataFrame, folder: str) -> None:
-    """JSON lines in one folder per split."""
-    nested.write.mode("overwrite").partitionBy("split").json(folder)
+    """JSON lines {version, split, data} in one folder per split."""
+    named = nested.withColumn("folder", F.col("split"))
+    named.write.mode("overwrite").partitionBy("folder").json(folder)

@@ -16,7 +16,6 @@ EVENT_KINDS = (
 )
 SIDES = ("home", "away")
 SLOTS = range(1, 12)
-_NULL_SPREAD = 64
 
 
 def players_with_age(players: DataFrame, as_of: Column) -> DataFrame:
@@ -78,13 +77,11 @@ def match_overview(
 def left_lookup(df: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
     """Left join to a table that is unique on ``table_key``.
 
-    Rows without a key match nothing, and there may be very many of them; a
-    spread column keeps them from being sent to one task.
+    Rows without a key match nothing, and there may be very many of them; each gets
+    a spread value of its own, so they go to all tasks alike.
     """
     hashable = [name for name, kind in df.dtypes if "map<" not in kind]
-    spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*hashable), F.lit(_NULL_SPREAD))
-    ).otherwise(F.lit(0))
+    spread = F.when(F.col(key).isNull(), F.xxhash64(*hashable)).otherwise(F.lit(0).cast("bigint"))
     left = df.withColumn("__spread", spread)
     right = table.withColumn("__zero", F.lit(0).cast("bigint")).withColumnRenamed(
         table_key, "__key"
@@ -282,9 +279,17 @@ def synthesize_matches(
         "league",
         "hometeam",
         "awayteam",
+        *[goals for goals in ("home_goals", "away_goals") if goals in templates.columns],
     )
 
 
+def synthetic_events(copies: DataFrame, events: DataFrame) -> DataFrame:
+    """The events of every copy: those of its template, as (template_id, match_id, other event columns)."""
+    ids = copies.select("template_id", "match_id")
+    own = events.withColumnRenamed("match_id", "template_id")
+    return ids.join(own, "template_id")
+
+
 def _numbered(df: DataFrame, group: str, key: str, name: str, size: str) -> DataFrame:
     numbered = OrderedGroups(df, [group], [F.col(key)]).number(name, start=0).df
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias(size))

@@ -188,6 +188,7 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     An aggregate, not a window: every task keeps one row per key before the shuffle.
     """
+    order = [column for column in order if column not in keys]
     rest = [column for column in df.columns if column not in keys and column not in order]
     ranked = F.min(F.struct(*order, *rest)).alias("__first")
     return df.groupBy(*keys).agg(ranked).select(*keys, "__first.*").select(*df.columns)

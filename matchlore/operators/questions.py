@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.functions.text import count_filled_lines
-from matchlore.operators.ordered import (
-    GROUP_LIMIT, OrderedGroups, first_in_group, largest_group,
-)
+from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, first_in_group
 
 # Fixed values of question generation.
 MIN_LINES = 50
@@ -27,10 +27,12 @@ def long_enough(
     return documents.filter(count_filled_lines(F.col(text)) >= min_lines).select(key)
 
 
-def gated(matches: DataFrame, key: str, *documents: tuple[DataFrame, str]) -> DataFrame:
+def gated(
+    matches: DataFrame, key: str, *documents: tuple[DataFrame, str], min_lines: int = MIN_LINES
+) -> DataFrame:
     """Matches whose text is long enough in each (documents, text column)."""
     for table, text in documents:
-        matches = matches.join(long_enough(table, key, text), key, "left_semi")
+        matches = matches.join(long_enough(table, key, text, min_lines), key, "left_semi")
     return matches
 
 
@@ -123,7 +125,7 @@ def _starts(counts: DataFrame, key: str, seed: int, digits: int = 3) -> DataFram
 
 
 def _numbered(
-    questions: DataFrame, group: str, question_key: str, seed: int, limit: int
+    questions: DataFrame, group: str, question_key: str, seed: int, limit: int, largest: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """All questions numbered so that those of a group are consecutive.
 
@@ -132,13 +134,40 @@ def _numbered(
     """
     counts = questions.groupBy(group).agg(F.count(F.lit(1)).alias("questions"))
     groups = _starts(counts, group, seed)
-    within = OrderedGroups(questions, [group], [F.col(question_key)], limit).number(
+    within = OrderedGroups(questions, [group], [F.col(question_key)], limit, largest).number(
         "within", start=0
     ).df
     numbered = within.join(groups.select(group, "start"), group)
     return groups, numbered.withColumn("question_no", F.col("start") + F.col("within")).drop("start")
 
 
+@dataclass(frozen=True)
+class GroupSizes:
+    """Rows in all and in the largest group."""
+
+    rows: int
+    largest: int
+
+
+def _group_sizes(**tables: tuple[DataFrame, str]) -> dict[str, GroupSizes]:
+    """Sizes of several tables by a column each, in one job."""
+    counted = [
+        table.groupBy(F.col(key).alias("g")).agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"), F.max("n").alias("m")).select(F.lit(name).alias("name"), "n", "m")
+        for name, (table, key) in tables.items()
+    ]
+    rows = reduce(DataFrame.union, counted).collect()
+    return {row["name"]: GroupSizes(row["n"] or 0, row["m"] or 0) for row in rows}
+
+
+def shortfall(questions: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
+    """(key, wanted, missing) of the matches that got fewer negatives than wanted."""
+    wanted = questions.groupBy(key).agg(negatives_wanted(F.count(F.lit(1))).alias("wanted"))
+    got = drawn.groupBy(key).agg(F.count(F.lit(1)).alias("got"))
+    missing = F.col("wanted") - F.coalesce("got", F.lit(0))
+    return wanted.join(got, key, "left").select(key, "wanted", missing.alias("missing")).filter("missing > 0")
+
+
 def _slots(counts: DataFrame, numbered: DataFrame, key: str) -> DataFrame:
     """(key, slot) for the n div 4 + 1 negatives of a match with n questions.
 
@@ -203,17 +232,20 @@ def negatives(
     repeats the remaining numbers are cut into as many stretches as there are
     slots, one draw each. A match gets fewer negatives only where fewer exist.
     """
-    narrow = questions.select(key, question_key, query)
-    ranges, numbered = _numbered(narrow, query, question_key, seed, limit)
-    results = answered.select(key, query).distinct()
+    asked = questions.select(key, question_key, query)
+    # A question without a query cannot be put to another match, but counts for its own.
+    narrow = asked.filter(F.col(query).isNotNull())
+    results = answered.select(key, query).filter(F.col(query).isNotNull()).distinct()
+    # Sizes are checked once; those of the later steps follow from them.
+    sizes = _group_sizes(asked=(asked, key), queries=(narrow, query), results=(results, key))
+    most_questions, total = sizes["asked"].largest, sizes["queries"].rows
+    most_blocked = sizes["results"].largest + most_questions
+    ranges, numbered = _numbered(narrow, query, question_key, seed, limit, sizes["queries"].largest)
     blocked = results.join(ranges, query).select(key, "start", "questions").unionByName(
         numbered.join(results, [key, query], "left_anti").select(
             key, F.col("question_no").alias("start"), F.lit(1).cast("bigint").alias("questions")
         )
     )
-    # Sizes are checked once; those of the later steps follow from them.
-    most_questions = largest_group(narrow, [key])
-    most_blocked = largest_group(results, [key]) + most_questions
     # Where a blocked range lies among the numbers that are left over.
     summed = OrderedGroups(blocked, [key], [F.col("start")], limit, most_blocked).running_sum(
         F.col("questions"), "shift"
@@ -226,10 +258,9 @@ def negatives(
         F.lit(None).cast("bigint").alias("slot"),
     )
     counts = questions.groupBy(key).agg(F.count(F.lit(1)).alias("questions"))
-    within = OrderedGroups(narrow, [key], [F.col(question_key)], limit, most_questions).number(
+    within = OrderedGroups(asked, [key], [F.col(question_key)], limit, most_questions).number(
         "within", start=0
     ).df
-    total = questions.count()
     gone = blocked.groupBy(key).agg(F.sum("questions").alias("gone"))
     free = counts.join(gone, key, "left").select(
         key,

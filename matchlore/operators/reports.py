@@ -87,22 +87,12 @@ def with_header(lines: DataFrame, headers: DataFrame, key: str = "match_id") ->
     return top.unionByName(lines.select(key, F.col("line_no").cast("bigint"), "line"))
 
 
-def joined_lines(
-    lines: DataFrame, key: str = "match_id", order: str = "line_no", part_size: int = 100_000
-) -> DataFrame:
-    """(key, part, context): the lines of a report as text.
-
-    A report is one part unless it has more than ``part_size`` lines; longer ones
-    come in several rows, in order, so that no task has to hold all of a report.
-    """
-    part = F.greatest(F.floor(F.col(order) / part_size), F.lit(0)).cast("int")
+def joined_lines(lines: DataFrame, key: str = "match_id", order: str = "line_no") -> DataFrame:
+    """(key, context): the lines of a report as text, one row per report."""
     return (
-        lines.withColumn("part", part)
-        .groupBy(key, "part")
+        lines.groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct(order, "line"))).alias("lines"))
-        .select(
-            key, "part", F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("context")
-        )
+        .select(key, F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("context"))
     )
 
 

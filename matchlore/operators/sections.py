@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchlore.functions.text import strip
-from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups
+from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups, largest_group
 
 # Marks of section heads, comments and trace lines.
 SECTION_MARK = ";;# "
 COMMENT_MARK = ";; "
 DEFAULT_SECTION = "data"
+_STRICT = {"mode": "FAILFAST"}
 TRACE_MARKS = {"query": "IM_QUERY:", "args": "IM_ARGS:", "result": "IM_RESULT:"}
 
 
@@ -24,35 +25,46 @@ def numbered_lines(texts: DataFrame, key: str, text: str, keep_blank: bool = Tru
     return clean if keep_blank else clean.filter(F.col("line") != "")
 
 
+def most_lines(texts: DataFrame, text: str) -> int:
+    """Lines of the longest text: its line feeds are counted, nothing is split or shuffled."""
+    feeds = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    return (texts.agg(F.max(feeds).alias("feeds")).first()["feeds"] or 0) + 1
+
+
 def labelled_lines(
-    lines: DataFrame, key: str, order: str = "line_no", limit: int = GROUP_LIMIT
+    lines: DataFrame,
+    key: str,
+    order: str = "line_no",
+    limit: int = GROUP_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
-    """(key, line_no, section, line) without section heads and comments."""
+    """(key, line_no, section, line) without section heads and comments.
+
+    ``largest`` is a bound on the lines of a text, see :func:`most_lines`.
+    """
+    if largest is None:
+        largest = largest_group(lines, [key])
     low = strip(F.lower("line"))
     head = F.when(low.startswith(SECTION_MARK), F.substring(low, len(SECTION_MARK) + 1, 1 << 30))
     marked = F.when(head.isNotNull(), F.struct(F.col(order), head.alias("name")))
-    labelled = OrderedGroups(lines, [key], [F.col(order)], limit).running_max(marked, "__head").df
+    labelled = OrderedGroups(lines, [key], [F.col(order)], limit, largest).running_max(marked, "__head").df
     comment = strip(F.col("line")).startswith(COMMENT_MARK)
     return labelled.filter(head.isNull() & ~comment).select(
         key, order, F.coalesce("__head.name", F.lit(DEFAULT_SECTION)).alias("section"), "line"
     )
 
 
-def section_texts(
-    labelled: DataFrame, key: str, order: str = "line_no", part_size: int = 100_000
-) -> DataFrame:
-    """(key, section, part, text): lines of one section put together, in order.
+def section_texts(labelled: DataFrame, key: str, order: str = "line_no") -> DataFrame:
+    """(key, section, text): lines of one section put together, in order.
 
-    Lines are collected per ``part_size`` line numbers, which bounds every row.
+    A section is not longer than the text it comes from, which is one row.
     """
     return (
-        labelled.withColumn("part", F.floor(F.col(order) / part_size).cast("int"))
-        .groupBy(key, "section", "part")
+        labelled.groupBy(key, "section")
         .agg(F.array_sort(F.collect_list(F.struct(order, "line"))).alias("lines"))
         .select(
             key,
             "section",
-            "part",
             strip(F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("text"),
         )
     )
@@ -84,7 +96,7 @@ def trace_records(
     return values.select(
         key,
         "record",
-        F.from_json(F.concat(F.lit('{"v":'), F.col("query"), F.lit("}")), "v STRING")["v"].alias("query"),
-        F.from_json("args", "ARRAY<STRING>").alias("args"),
+        F.from_json(F.concat(F.lit('{"v":'), F.col("query"), F.lit("}")), "v STRING", _STRICT)["v"].alias("query"),
+        F.from_json("args", "ARRAY<STRING>", _STRICT).alias("args"),
         "result",
     )

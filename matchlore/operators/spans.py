@@ -114,7 +114,9 @@ def with_spans(
         .when(clean.isNull() | (clean == ""), "empty_answer")
         .when(kind == "numeric", F.when(clean.try_cast("bigint").isNull(), "no_number").otherwise("numeric"))
         .when(((kind == "minute") | at_minute.isNotNull()) & (onset == 0), "minute_not_found")
-        .when(at_minute.isNull() & F.contains(text, last_word(clean)), "last_word")
+        .when(
+            at_minute.isNull() & (last_word(clean) != "") & F.contains(text, last_word(clean)), "last_word"
+        )
         .otherwise("answer_not_found")
     )
     sought = F.when(kind == "minute", clean).otherwise(at_minute)
@@ -246,33 +248,15 @@ def numeric_choices(
     return summed.withColumn("offset", offset.cast("bigint")).drop("__end")
 
 
-def choice_line(
-    choices: DataFrame, doc_key: str, part_size: int = 100_000, run: int = 10_000
-) -> DataFrame:
-    """(doc_key, part, numbers): the ``NUM`` marks of a document in ascending order.
-
-    Beyond ``part_size`` characters the line comes in parts, to be joined by a
-    blank. Many copies of one number are laid out in runs, so that no part grows
-    with them.
-    """
+def choice_line(choices: DataFrame, doc_key: str) -> DataFrame:
+    """(doc_key, numbers): the ``NUM`` marks of a document in ascending order."""
     mark = F.concat(F.lit(NUMBER_MARK), F.col("value").cast("string"))
-    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / run))
-    in_runs = (
-        choices.withColumn("mark", mark)
-        .withColumn("run", F.explode(runs))
-        .withColumn("at", F.col("offset") + F.col("run") * run * (F.length("mark") + 1))
-        .withColumn("size", F.least(F.lit(run), F.col("copies") - F.col("run") * run).cast("int"))
-    )
+    marks = F.array_join(F.array_repeat(mark, F.col("copies").cast("int")), " ")
     return (
-        in_runs.withColumn("part", F.floor(F.col("at") / part_size).cast("int"))
-        .withColumn("marks", F.array_join(F.array_repeat("mark", F.col("size")), " "))
-        .groupBy(doc_key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "marks"))).alias("line"))
-        .select(
-            doc_key,
-            "part",
-            F.array_join(F.transform("line", lambda piece: piece["marks"]), " ").alias("numbers"),
-        )
+        choices.withColumn("marks", marks)
+        .groupBy(doc_key)
+        .agg(F.array_sort(F.collect_list(F.struct("offset", "marks"))).alias("line"))
+        .select(doc_key, F.array_join(F.transform("line", lambda piece: piece["marks"]), " ").alias("numbers"))
     )
 
 

@@ -44,12 +44,17 @@ def build_corpus(
     rules: Sequence[Rule] = REPORT_RULES,
     whole_match_rule: bool = True,
     events: DataFrame | None = None,
+    done: DataFrame | None = None,
 ) -> Corpus:
     """``tables``: Match, Team, Country, League and Player as read from parquet.
 
     Events and scored matches are kept in reliable checkpoints, as all outputs
-    share them. Pass ``events`` (a stored result of ``match_events``) to skip parsing.
+    share them. Pass ``events`` (a stored result of ``match_events``) to skip parsing, and
+    ``done`` (match_id) to leave out matches that have their texts already.
     """
+    if done is not None:
+        finished = done.select(F.col("match_id").alias("id"))
+        tables = {**tables, "Match": reports.unfinished(tables["Match"], finished, ["id"])}
     overview = model.match_overview(
         tables["Match"], tables["Country"], tables["League"], tables["Team"]
     )

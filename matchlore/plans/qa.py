@@ -12,6 +12,7 @@ from matchlore.functions.sampling import seed_hash
 from matchlore.functions.text import strip
 from matchlore.operators import export, questions, spans
 from matchlore.operators.ordered import largest_group
+from matchlore.operators.reports import unfinished
 from matchlore.operators.rules import Rule, any_applies, for_target, render, variant, with_text
 from matchlore.session import reliable
 
@@ -40,6 +41,15 @@ MATCH_RULES = (
 )
 
 
+def check_partners(rules: Sequence[Rule]) -> None:
+    """Every rule that words a question needs a partner that spells its query."""
+    missing = {rule.rule_id for rule in for_target(rules, "text")} - {
+        rule.rule_id for rule in for_target(rules, "datalog")
+    }
+    if missing:
+        raise ValueError(f"no query rule with the id of {sorted(missing)}")
+
+
 def _query(rules: Sequence[Rule]) -> Column:
     """The query of the partner of the chosen rule."""
     query = F.lit(None).cast("string")
@@ -49,6 +59,7 @@ def _query(rules: Sequence[Rule]) -> Column:
 
 
 def _asked(df: DataFrame, rules: Sequence[Rule], keys: Sequence[str], seed: int) -> DataFrame:
+    check_partners(rules)
     asking = for_target(rules, "text")
     chosen = with_text(render(df.filter(any_applies(asking)), asking, keys, seed), "__text")
     return chosen.select(
@@ -109,22 +120,51 @@ def answers(matches: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def question_set(matches: DataFrame, events: DataFrame, seed: int) -> DataFrame:
+def chosen_matches(
+    matches: DataFrame,
+    reports: DataFrame | None = None,
+    fact_texts: DataFrame | None = None,
+    done: DataFrame | None = None,
+    min_lines: int = questions.MIN_LINES,
+) -> DataFrame:
+    """Matches whose report (``context``) and facts (``text``) exist and are long enough, and that are not done."""
+    given = [(t, c) for t, c in ((reports, "context"), (fact_texts, "text")) if t is not None]
+    chosen = questions.gated(matches, "match_id", *given, min_lines=min_lines)
+    return chosen if done is None else unfinished(chosen, done, ["match_id"])
+
+
+def question_set(
+    matches: DataFrame,
+    events: DataFrame,
+    seed: int,
+    reports: DataFrame | None = None,
+    fact_texts: DataFrame | None = None,
+    done: DataFrame | None = None,
+    event_rules: Sequence[Rule] = EVENT_RULES,
+    match_rules: Sequence[Rule] = MATCH_RULES,
+    min_lines: int = questions.MIN_LINES,
+) -> DataFrame:
     """Selected, answered questions of all matches, with negatives.
 
     (match_id, question_key, level, rule, category, question, datalog, answer,
-    answertype, unanswerable)
+    answertype, unanswerable). With ``reports`` and ``fact_texts`` only matches whose texts are
+    long enough are asked; ``done`` lists those that have questions already. A rule
+    asks once per match, on whichever level it comes first.
     """
-    # Both are read several times below, so they are worked out once and kept.
-    results = reliable(answers(matches, events).withColumnRenamed("query", "datalog"))
+    asked_of = chosen_matches(matches, reports, fact_texts, done, min_lines)
+    if reports is not None or fact_texts is not None or done is not None:
+        events = events.join(asked_of.select("match_id"), "match_id", "left_semi")
+    # The results are read several times below, so they are worked out once and kept.
+    results = reliable(answers(asked_of, events).withColumnRenamed("query", "datalog"))
     on = ["match_id", "datalog"]
+    by_match = questions.one_per_rule(ask_matches(asked_of, seed, match_rules), ["draw", "pos"])
+    by_match = questions.answer_from(by_match, results, on)
     by_event = questions.drop_empty_answers(
-        questions.answer_from(ask_events(events, seed), results, on)
+        questions.answer_from(ask_events(events, seed, event_rules), results, on)
     )
     by_event = questions.one_per_rule(by_event, ["draw", "pos"])
+    by_event = by_event.join(by_match.select("match_id", "rule"), ["match_id", "rule"], "left_anti")
     by_event = questions.capped(by_event, ["draw", "pos"])
-    by_match = questions.one_per_rule(ask_matches(matches, seed), ["draw", "pos"])
-    by_match = questions.answer_from(by_match, results, on)
     asked = by_match.unionByName(by_event.select(*by_match.columns)).drop("draw")
     asked = reliable(
         asked.withColumn("question_key", F.concat_ws("_", "match_id", "level", "rule"))
@@ -201,7 +241,6 @@ def dataset(
         export.question_records(records, found, key),
         _with_choice_lines(documents, choices),
         "match_id",
-        largest=largest,
     )
     statuses = (
         asked.join(status, key, "left")
@@ -219,29 +258,14 @@ def dataset(
 def _with_choice_lines(documents: DataFrame, choices: DataFrame) -> DataFrame:
     """Documents whose context ends with their line of numbers, if they have one."""
     line = spans.choice_line(choices, "match_id")
-    whole = line.groupBy("match_id").agg(
-        F.array_sort(F.collect_list(F.struct("part", "numbers"))).alias("parts")
-    )
-    numbers = F.array_join(F.transform("parts", lambda part: part["numbers"]), " ")
+    longer = F.concat(F.col("context"), F.lit("\n\n"), F.col("numbers"))
     return (
-        documents.join(whole, "match_id", "left")
-        .withColumn(
-            "context",
-            F.when(F.col("parts").isNull(), F.col("context")).otherwise(
-                F.concat(F.col("context"), F.lit("\n\n"), numbers)
-            ),
-        )
-        .drop("parts")
+        documents.join(line, "match_id", "left")
+        .withColumn("context", F.coalesce(longer, F.col("context")))
+        .drop("numbers")
     )
 
 
 def single_texts(texts: DataFrame, name: str, column: str) -> DataFrame:
-    """(match_id, name) from (match_id, part, text) rows; raises if a text has several parts.
-
-    A context has to fit one row to be searched. The parts are never cut off silently.
-    """
-    texts = reliable(texts)
-    long = texts.filter(F.col("part") > 0).select("match_id").limit(5).collect()
-    if long:
-        raise ValueError(f"texts of several parts: matches {[row['match_id'] for row in long]}")
+    """(match_id, name): the stripped text of every match."""
     return texts.select("match_id", strip(F.col(column)).alias(name))

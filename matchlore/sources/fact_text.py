@@ -84,20 +84,14 @@ def render_entries(entries: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.transform(filled, entry), "\n"), F.lit("}"))
 
 
-def fact_texts(maps: DataFrame, key: str, part_size: int = 100_000) -> DataFrame:
-    """(key, part, text): the fact text of a match from its map lines.
+def fact_texts(maps: DataFrame, key: str) -> DataFrame:
+    """(key, text): the fact text of a match from its map lines.
 
-    ``maps`` has (key, pos, line) with pos counted from 0. A text beyond
-    ``part_size`` maps comes in several parts, to be read one after the other,
-    so that no task has to hold an unbounded match.
+    ``maps`` has (key, pos, line). A text is one row, as it is one file: entities are
+    numbered by their place in it.
     """
-    part = F.floor(F.col("pos") / part_size).cast("int")
-    grouped = (
-        maps.withColumn("part", part)
-        .groupBy(key, "part")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))
-    )
+    grouped = maps.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines"))
     body = F.array_join(F.transform("lines", lambda item: item["line"]), "\n\n")
     return grouped.select(
-        key, "part", F.concat(F.lit(f"\n{HEAD}\n{OPEN}\n"), body, F.lit(f"\n\n{CLOSE}\n\n")).alias("text")
+        key, F.concat(F.lit(f"\n{HEAD}\n{OPEN}\n"), body, F.lit(f"\n\n{CLOSE}\n\n")).alias("text")
     )

@@ -16,13 +16,16 @@ def read_lines(spark: SparkSession, folder: str, keep_blank: bool = False) -> Da
     return lines if keep_blank else lines.filter(F.col("line") != "")
 
 
-def write_texts(texts: DataFrame, folder: str, key: str, text: str, buckets: int = 0) -> None:
-    """Texts with their key. With ``buckets`` the files are grouped by key hash,
-    otherwise every key gets a folder of its own, which suits small sets only."""
+def write_texts(texts: DataFrame, folder: str, key: str, text: str, buckets: int = 64) -> None:
+    """Texts with their key as JSON lines, grouped by key hash into ``buckets`` folders.
+
+    Written again, a bucket takes the place of the one before. With 0 buckets every key gets a folder of its
+    own with the plain text, which suits small sets only.
+    """
+    by_key = {"partitionOverwriteMode": "dynamic"}
     if buckets:
-        spread = texts.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-        spread.write.mode("append").partitionBy("bucket").json(folder)
+        spread = texts.select(key, text, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
+        spread.repartition("bucket").write.mode("overwrite").options(**by_key).partitionBy("bucket").json(folder)
     else:
-        texts.select(key, F.col(text).alias("value")).write.mode("append").partitionBy(key).text(
-            folder
-        )
+        plain = texts.select(key, F.col(text).alias("value"))
+        plain.write.mode("overwrite").options(**by_key).partitionBy(key).text(folder)

@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Input splits are this large by default.
-ONE_SPLIT = 128 << 20
 
 # The columns of each relational table the jobs use.
 TABLE_COLUMNS = {
@@ -26,19 +22,15 @@ def read_table(
 ) -> DataFrame:
     """``{folder}/{name}.parquet``; the columns default to those listed for the table.
 
-    ``spread`` is for costly work per row: a table smaller than one input split
-    is dealt out to all cores, as one task would read it whole.
+    ``spread`` is for costly work per row: a table of fewer files than cores is dealt
+    out to all cores, as each of its files may be read by one task.
     """
     path = f"{folder}/{name}.parquet"
     table = spark.read.parquet(path)
     wanted = list(columns) or TABLE_COLUMNS.get(name)
     table = table.select(*wanted) if wanted else table
-    if spread and _bytes(spark, path) < ONE_SPLIT:
-        table = table.repartition(spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(table.inputFiles()) < cores:
+        table = table.repartition(cores)
     return table
 
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    files = spark.read.format("binaryFile").load(path).select("length")
-    return files.agg(F.sum("length").alias("n")).first()["n"] or 0
-

@@ -7,15 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from matchlore.functions.text import strip
 from matchlore.operators.model import EVENT_KINDS
 
+# Stand for a written < and for the start of a CDATA section while XML is parsed: what is left of
+# < at the start of a value is then a nested element. Neither character is allowed for exchange.
+_WRITTEN, _SECTION = "\uFDD0", "\uFDD1"
 # A map per element: tags are not known in advance.
 ELEMENTS = "value ARRAY<MAP<STRING, STRING>>"
 
 
 def parse_elements(xml: Column) -> Column:
-    """The ``value`` children of the root as tag maps. Malformed XML fails the job."""
-    return F.from_xml(xml, ELEMENTS, {"mode": "FAILFAST"})["value"]
+    """The ``value`` children of the root as tag maps. Malformed XML fails the job.
+
+    A tag with nested elements has no text of its own and gets NULL.
+    """
+    marked = F.regexp_replace(xml, "&lt;|&#0*60;|&#[xX]0*3[cC];", _WRITTEN)
+    marked = F.regexp_replace(marked, r"<!\[CDATA\[", f"{_SECTION}<![CDATA[")
+    elements = F.from_xml(marked, ELEMENTS, {"mode": "FAILFAST"})["value"]
+
+    def text(_: Column, value: Column) -> Column:
+        return F.when(~strip(value).startswith("<"), F.translate(value, _WRITTEN + _SECTION, "<"))
+
+    return F.transform(elements, lambda tags: F.transform_values(tags, text))
 
 
 def event_documents(

@@ -29,23 +29,31 @@ def test_scan_fact_text(spark):
     }
 
 
-@pytest.mark.parametrize("part_size", [100, 1])
-def test_written_text_reads_back(spark, tmp_path, part_size):
+def test_written_text_reads_back(spark, tmp_path):
     texts = spark.createDataFrame([(3, TEXT)], "match_id bigint, text string")
     maps = ft.fact_maps(texts, "match_id")
     lines = maps.select(
         "match_id", (F.col("entity_id") - 2).alias("pos"), ft.render_entries(F.col("entries")).alias("line")
     )
-    written = ft.fact_texts(lines, "match_id", part_size)
-    assert written.count() == (1 if part_size == 100 else 2)
-    if part_size == 100:
-        folder = tmp_path / "facts"
-        folder.mkdir()
-        (folder / "report_3.dl").write_text(written.first()["text"])
-        files = ft.read_fact_files(spark, str(folder))
-        read = files.select(ft.match_id_of_path(F.col("path")).alias("match_id"), "text")
-        again = fx.maps_to_facts(ft.fact_maps(read, "match_id"), "match_id")
-        assert set(again.collect()) == set(fx.maps_to_facts(maps, "match_id").collect())
+    written = ft.fact_texts(lines, "match_id")
+    assert written.count() == 1
+    folder = tmp_path / "facts"
+    folder.mkdir()
+    (folder / "report_3.dl").write_text(written.first()["text"])
+    files = ft.read_fact_files(spark, str(folder))
+    read = files.select(ft.match_id_of_path(F.col("path")).alias("match_id"), "text")
+    again = fx.maps_to_facts(ft.fact_maps(read, "match_id"), "match_id")
+    assert set(again.collect()) == set(fx.maps_to_facts(maps, "match_id").collect())
+
+
+def test_a_long_match_keeps_its_entities_apart(spark):
+    maps = spark.range(5000).select(
+        F.lit(1).alias("match_id"), F.col("id").alias("pos"),
+        F.format_string('{:event/id "%d"}', "id").alias("line"),
+    )
+    read = fx.maps_to_facts(ft.fact_maps(ft.fact_texts(maps, "match_id"), "match_id"), "match_id")
+    assert read.filter("entity_id <> CAST(value AS BIGINT) + 2").count() == 0
+    assert read.select("entity_id").distinct().count() == 5000
 
 
 def facts(spark):

@@ -1,6 +1,7 @@
 """The whole way from the relational tables to split documents, on small data."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +49,9 @@ def test_dataset_from_corpus(spark, built):
     texts = qa.single_texts(built.fact_texts, "datalog", "text")
     result = qa.dataset(asked, contexts, texts, seed=3)
     added = result.counts().filter("status = 'added'").agg(F.sum("n")).first()[0]
-    rows = result.documents.select("split", F.explode("paragraphs").alias("p")).select(
+    documents = result.documents.select("split", F.explode("data").alias("d"))
+    assert documents.count() == asked.select("match_id").distinct().count()
+    rows = documents.select("split", F.explode("d.paragraphs").alias("p")).select(
         "split", "p.context", F.explode("p.qas").alias("qa")
     )
     assert rows.count() == added
@@ -72,17 +75,48 @@ def test_question_files(spark, tmp_path):
 
 def test_text_files(spark, tmp_path):
     texts = spark.createDataFrame([(1, "a \n\nb"), (2, "c")], "match_id int, text string")
-    for name, buckets in (("folders", 0), ("buckets", 4)):
+    for name, buckets in (("folders", 0), ("buckets", 4), ("folders", 0), ("buckets", 4)):
         report_files.write_texts(texts, str(tmp_path / name), "match_id", "text", buckets)
     lines = report_files.read_lines(spark, str(tmp_path / "folders"))
     assert sorted(r["line"] for r in lines.collect()) == ["a", "b", "c"]
     assert spark.read.json(str(tmp_path / "buckets")).count() == 2
 
 
-def test_text_of_several_parts_is_refused(spark):
-    texts = spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], "match_id int, part int, context string")
-    with pytest.raises(ValueError, match="several parts"):
-        qa.single_texts(texts, "context", "context")
+def test_only_long_and_new_matches_are_asked(spark, built):
+    ids = sorted(r["match_id"] for r in built.matches.select("match_id").collect())
+    lines = {ids[0]: 3, ids[1]: 2, ids[2]: 3, ids[3]: 3}
+    texts = [(i, "\n".join(["x"] * n) + "\n \n") for i, n in lines.items()]
+    reports = spark.createDataFrame(texts, "match_id bigint, context string")
+    facts = spark.createDataFrame([t for t in texts if t[0] != ids[2]], "match_id bigint, text string")
+    done = spark.createDataFrame([(ids[3],)], "match_id bigint")
+    chosen = qa.chosen_matches(built.matches, reports, facts, done, min_lines=3)
+    assert [r["match_id"] for r in chosen.collect()] == [ids[0]]
+    asked = qa.question_set(built.matches, built.events, 3, reports, facts, done, min_lines=3)
+    assert {r["match_id"] for r in asked.select("match_id").distinct().collect()} == {ids[0]}
+
+
+def test_a_rule_without_partner_fails(built):
+    rules = [r for r in qa.EVENT_RULES if (r.target, r.rule_id) != ("datalog", "Q_E_WHO")]
+    with pytest.raises(ValueError, match="Q_E_WHO"):
+        qa.ask_events(built.events, 3, rules)
+
+
+def test_an_id_is_used_on_one_level_only(built):
+    renamed = [replace(r, rule_id="Q_A_1") if r.rule_id == "Q_E_MANY" else r for r in qa.EVENT_RULES]
+    asked = qa.question_set(built.matches, built.events, 3, event_rules=renamed).filter("level <> 'drawn'")
+    assert asked.groupBy("match_id", "rule").count().filter("count > 1").count() == 0
+    assert asked.filter("rule = 'Q_A_1' AND level = 'event'").join(
+        asked.filter("rule = 'Q_A_1' AND level = 'match'"), "match_id"
+    ).count() == 0
+
+
+def test_finished_matches_are_left_out_of_the_corpus(spark, data, built):
+    done = built.matches.select("match_id").limit(5)
+    match = ce._xml_matches(spark, data).join(st.matches(spark, data), "id")
+    tables = {"Match": match, "Team": st.teams(spark, data), "Country": st.countries(spark, data),
+              "League": st.leagues(spark, data), "Player": st.players(spark, data)}
+    again = corpus.build_corpus(tables, seed=3, whole_match_rule=False, done=reliable(done))
+    assert again.matches.count() == built.matches.count() - 5
 
 
 def test_sections_and_traces(spark):

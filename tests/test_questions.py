@@ -92,3 +92,16 @@ def test_length_gate(spark):
     rows = [(1, "a\n\n" * 50), (2, "a\n \n" * 49)]
     df = spark.createDataFrame(rows, "match_id int, text string")
     assert [r[0] for r in qs.long_enough(df, "match_id").collect()] == [1]
+
+
+def test_questions_without_query_count_but_are_not_put(spark):
+    """Half of the queries are missing: every match still gets n div 4 + 1 negatives."""
+    rows = [(m, f"{m}_{i}", f"q{m}_{i}" if i % 2 else None) for m in range(6) for i in range(8)]
+    asked = spark.createDataFrame(rows, "match_id bigint, question_key string, query string")
+    none = asked.limit(0).select("match_id", "query")
+    drawn = qs.negatives(asked, none, "match_id", "question_key", "query", 5)
+    got = drawn.groupBy("match_id").count().collect()
+    assert {(r["match_id"], r["count"]) for r in got} == {(m, 3) for m in range(6)}
+    assert drawn.filter("query IS NULL").count() == 0
+    assert qs.shortfall(asked, drawn, "match_id").count() == 0
+    assert {tuple(r) for r in qs.shortfall(asked, drawn.filter("match_id > 0"), "match_id").collect()} == {(0, 3, 3)}

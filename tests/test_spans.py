@@ -69,12 +69,17 @@ def test_numeric_choices(spark, limit):
         assert r["answer_start"] == text.index(f"NUM{r['value']}", 20) + 3
 
 
-def test_many_copies_come_in_parts(spark):
+def test_many_copies_are_one_line(spark):
     df = spark.createDataFrame([(1, 7)] * 50 + [(1, 8)], "doc int, value bigint")
     choices = spans.numeric_choices(df, "doc", 3)
-    parts = spans.choice_line(choices, "doc", part_size=40, run=9).orderBy("part").collect()
-    assert len(parts) > 3
-    assert " ".join(r["numbers"] for r in parts) == " ".join(["NUM7"] * 50 + ["NUM8"])
+    (line,) = spans.choice_line(choices, "doc").collect()
+    assert line["numbers"] == " ".join(["NUM7"] * 50 + ["NUM8"])
+
+
+def test_an_empty_last_word_is_no_answer(spark):
+    pairs = spark.createDataFrame([("some text", "zzz ", "text")], "context string, answer string, answertype string")
+    found = spans.with_spans(pairs, minute=None).first()
+    assert found["reason"] == "answer_not_found" and found["pieces"] is None
 
 
 @pytest.mark.parametrize(
@@ -95,7 +100,7 @@ def test_question_ids(spark):
     assert export.repeated_ids(df.unionByName(df)).count() == 100
 
 
-def test_nested_documents_in_parts(spark, tmp_path):
+def test_nested_documents_are_whole(spark, tmp_path):
     records = spark.range(25).select(
         F.lit(1).alias("doc"), F.lit("r").alias("rule"), F.lit("c").alias("category"),
         F.col("id").cast("string").alias("question"), F.lit("text").alias("answertype"),
@@ -106,11 +111,13 @@ def test_nested_documents_in_parts(spark, tmp_path):
         [(1, "train", "Title\nline", "facts"), (2, "dev", "Other", "none")],
         "doc int, split string, context string, datalog string",
     )
-    nested = export.nested_documents(records, documents, "doc", part_size=10, limit=7)
+    nested = export.nested_documents(records, documents, "doc")
     folder = str(tmp_path / "out")
     export.write_documents(nested, folder)
     read = spark.read.json(folder)
-    assert read.filter("split = 'train'").count() == 3 and read.filter("split = 'dev'").count() == 1
-    qas = read.select(F.explode("paragraphs").alias("p")).select(F.explode("p.qas").alias("q"))
-    assert qas.select("q.question").distinct().count() == 25
-    assert {r["title"] for r in read.collect()} == {"Title", "Other"}
+    assert read.filter("split = 'train'").count() == 1 and read.filter("split = 'dev'").count() == 1
+    assert set(read.columns) == {"version", "split", "data", "folder"}
+    data = read.select(F.explode("data").alias("d"))
+    qas = data.select(F.explode("d.paragraphs").alias("p")).select(F.explode("p.qas").alias("q"))
+    assert [r[0] for r in qas.select("q.id").collect()] == [f"r_{n:08}" for n in range(25)]
+    assert {r[0] for r in data.select("d.title").collect()} == {"Title", "Other"}
