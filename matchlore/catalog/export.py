@@ -66,6 +66,26 @@ def joined_sources(spark, folder):
     return export.join_sources(questions, reports, labels, "doc_id")
 
 
+def question_set(spark, folder):
+    """The question plan on the event table: matches with long texts that are not done, their questions and answers.
+
+    Customers are matches; a report and the document of the same number are their texts.
+    """
+    events = st.match_events(spark, folder).withColumn("pos", F.col("eid")).withColumn(
+        "player1", F.struct(F.col("player1").alias("name"))
+    )
+    matches = st.match_numbers(spark, folder)
+    texts = read_table(spark, folder, "documents", F.col("doc_id").alias("match_id"), "text")
+    done = matches.filter("match_id % 11 = 0").select("match_id")
+    asked = qa.question_set(
+        matches, events, st.SEED, sp.reports_of(spark, folder), texts, done, min_lines=4
+    )
+    return asked.filter("level <> 'drawn'").select(
+        "match_id", "question_key", "level", "rule", "category", "question", "datalog", "answer",
+        "answertype", "unanswerable",
+    )
+
+
 def _asked(spark, folder):
     """A question per event: for its minute, its player, or a number."""
     key = F.col("eid")
@@ -122,7 +142,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         question_ids, repeated_ids, document_titles, answertype_override, file_keys, joined_sources,
-        nested_export, export_counters,
+        nested_export, export_counters, question_set,
     )
 }
 
@@ -171,7 +191,51 @@ _DATASET = f"""{sp._REPORTS},
    UNION ALL SELECT eid, answer, size0 + strpos(substr(full_context, size0 + 1), 'NUM' || answer) + 2 FROM y
      WHERE NOT is_impossible AND answertype = 'numeric')"""
 
+_QUESTION_SET = f"""{sp._REPORTS}, gate AS (
+   SELECT mn.* FROM mn JOIN rep USING (match_id) JOIN documents ON doc_id = match_id
+   WHERE match_id % 11 <> 0
+     AND len(list_filter(string_split(context, chr(10)), lambda x: {st.strip_sql('x')} <> '')) >= 4
+     AND len(list_filter(string_split(text, chr(10)), lambda x: {st.strip_sql('x')} <> '')) >= 4),
+ e AS (SELECT * FROM ev WHERE match_id IN (SELECT match_id FROM gate)),
+ res AS (
+   SELECT match_id, concat_ws('|', ':event/player', event_kind, CAST(minute AS VARCHAR), team) AS datalog,
+     arg_min(player1, eid) AS answer FROM e GROUP BY 1, 2
+   UNION ALL SELECT match_id, concat_ws('|', ':event/minute', event_kind, player1),
+     arg_min(CAST(minute AS VARCHAR), eid) FILTER (minute IS NOT NULL) FROM e GROUP BY 1, 2
+   UNION ALL SELECT match_id, concat_ws('|', 'count', event_kind, team), CAST(count(*) AS VARCHAR) FROM e GROUP BY 1, 2
+   UNION ALL SELECT match_id, 'count', CAST(count(*) AS VARCHAR) FROM e GROUP BY 1
+   UNION ALL SELECT match_id, 'home|' || awayteam, hometeam FROM gate),
+ tries AS (SELECT match_id, awayteam, pos, md5('42:' || match_id || ':' || pos) AS h
+   FROM gate CROSS JOIN (SELECT unnest(range(1, 21)) AS pos)),
+ m AS (SELECT match_id, 'match' AS level, CASE WHEN md5(h || ':Q_A_1') < md5(h || ':Q_A_2') THEN 'Q_A_1' ELSE 'Q_A_2' END AS rule,
+   awayteam FROM tries),
+ ma AS (SELECT DISTINCT match_id, level, rule, CASE rule WHEN 'Q_A_1' THEN 'Simple' ELSE 'Count' END AS category,
+   CASE rule WHEN 'Q_A_1' THEN 'Who plays at home against ' || awayteam || '?' ELSE 'How many events are there?' END AS question,
+   CASE rule WHEN 'Q_A_1' THEN 'home|' || awayteam ELSE 'count' END AS datalog,
+   CASE rule WHEN 'Q_A_1' THEN 'text' ELSE 'numeric' END AS answertype FROM m),
+ eh AS (SELECT *, md5('42:' || match_id || ':' || eid) AS h FROM e),
+ er AS (SELECT *, CASE least(md5(h || ':Q_E_WHO'), md5(h || ':Q_E_WHEN'), md5(h || ':Q_E_MANY'))
+     WHEN md5(h || ':Q_E_WHO') THEN 'Q_E_WHO' WHEN md5(h || ':Q_E_WHEN') THEN 'Q_E_WHEN' ELSE 'Q_E_MANY' END AS rule FROM eh),
+ ea AS (SELECT match_id, 'event' AS level, rule, CASE rule WHEN 'Q_E_WHO' THEN 'Player' WHEN 'Q_E_WHEN' THEN 'Simple' ELSE 'Count' END AS category,
+   CASE rule WHEN 'Q_E_WHO' THEN CASE WHEN CAST('0x' || substr(h, 1, 15) AS BIGINT) % 2 = 0
+       THEN 'Which player had a ' || event_kind || ' in minute ' || minute || '?'
+       ELSE 'Whose ' || event_kind || ' was it in minute ' || minute || '?' END
+     WHEN 'Q_E_WHEN' THEN 'In which minute did ' || player1 || ' have a ' || event_kind || '?'
+     ELSE 'How many times was there a ' || event_kind || ' by the ' || team || ' team?' END AS question,
+   CASE rule WHEN 'Q_E_WHO' THEN concat_ws('|', ':event/player', event_kind, CAST(minute AS VARCHAR), team)
+     WHEN 'Q_E_WHEN' THEN concat_ws('|', ':event/minute', event_kind, player1)
+     ELSE concat_ws('|', 'count', event_kind, team) END AS datalog,
+   CASE rule WHEN 'Q_E_WHO' THEN 'text' WHEN 'Q_E_WHEN' THEN 'minute' ELSE 'numeric' END AS answertype, h, eid FROM er),
+ ef AS (SELECT ea.*, answer FROM ea JOIN res USING (match_id, datalog) WHERE trim(answer) <> ''
+   QUALIFY row_number() OVER (PARTITION BY match_id, rule ORDER BY h, eid) = 1),
+ both_levels AS (
+   SELECT match_id, level, rule, category, question, datalog, answertype, answer FROM ef
+   UNION ALL SELECT match_id, level, rule, category, question, datalog, answertype, coalesce(answer, '')
+   FROM ma LEFT JOIN res USING (match_id, datalog))"""
+
 SQL = {
+    "question_set": f"""WITH {_QUESTION_SET} SELECT match_id, match_id || '_' || level || '_' || rule AS question_key,
+        level, rule, category, question, datalog, answer, answertype, false AS unanswerable FROM both_levels""",
     "question_ids": f"SELECT event_id, {_ID.format(low=10000000, span=90000000)} AS id FROM events",
     "repeated_ids": f"SELECT {_ID.format(low=100, span=900)} AS id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1",
     "document_titles": f"""SELECT doc_id, string_split({st.strip_sql('text')}, chr(10))[1] AS title
