@@ -67,4 +67,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_trust": op10_url_trust,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP5 = f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+ windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM w, unnest(range(1, len(ws) - 48)) AS t(i)),
+ firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+ covered AS (SELECT DISTINCT doc_id, i + o AS p FROM windows JOIN firsts USING (k), unnest(range(50)) AS t(o) WHERE f < doc_id),
+ each AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS t(p)),
+ kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words
+   FROM each ANTI JOIN covered USING (doc_id, p) GROUP BY 1)
+ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+   sha256(coalesce(words, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+_FILLING = "ORDER BY cap / weight, source IS NULL, encode(source)"
+
+_OP7 = f"""WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size,
+   md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3
+     WHEN 0 THEN 5::DOUBLE WHEN 1 THEN 2::DOUBLE ELSE 1::DOUBLE END AS weight, 2::DOUBLE * source_size AS cap FROM s),
+ v AS (SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE)
+     - coalesce(sum(cap) OVER ({_FILLING} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0::DOUBLE))
+   / sum(weight) OVER ({_FILLING} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+ t AS (SELECT source, source_size, CASE WHEN cap <= weight * level THEN cap ELSE weight *
+     (SELECT arg_min(level, cap / weight) FROM v WHERE cap > weight * level) END AS target FROM v),
+ r AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+ q AS (SELECT *, CAST(round(target - whole * source_size) AS BIGINT) AS rest FROM r)
+ SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, rest - sum(size) OVER (
+   PARTITION BY d.source ORDER BY k, size ROWS UNBOUNDED PRECEDING) + size)) AS BIGINT) AS taken
+ FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source"""
+
+SQL: dict[str, str] = {"op5_fm_index": _OP5, "op7_mixing": _OP7}
