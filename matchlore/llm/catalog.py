@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_trust": op10_url_trust,
 }
 
-_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_BLACK = r"[^\x20\x09-\x0D]"
+_WORDS = f"regexp_extract_all(coalesce(text, ''), '{_BLACK}+')"
 
 _OP5 = f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
  windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM w, unnest(range(1, len(ws) - 48)) AS t(i)),
@@ -97,4 +99,47 @@ _OP7 = f"""WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS si
    PARTITION BY d.source ORDER BY k, size ROWS UNBOUNDED PRECEDING) + size)) AS BIGINT) AS taken
  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source"""
 
-SQL: dict[str, str] = {"op5_fm_index": _OP5, "op7_mixing": _OP7}
+_GROWTH = repr(math.log(1.01 / 0.99))
+_PICK = "CASE WHEN g.total >= 100 THEN g.{0} WHEN l.total >= 100 THEN l.{0} ELSE a.{0} END AS {0}"
+
+
+def _quartiles(keys: str) -> str:
+    comma = ", " if keys else ""
+    return f"""SELECT {keys}{comma}ratio, min(CASE WHEN upto >= 0.25 * total THEN v END) AS q1,
+     min(CASE WHEN upto >= 0.75 * total THEN v END) AS q3, min(total) AS total
+   FROM (SELECT {keys}{comma}ratio, exp(bucket * {_GROWTH}::DOUBLE) * 0.99::DOUBLE AS v,
+       sum(n) OVER (PARTITION BY {keys}{comma}ratio ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}{comma}ratio) AS total
+     FROM (SELECT {keys}{comma}ratio, bucket, count(*) AS n FROM sketch GROUP BY ALL)) GROUP BY ALL"""
+
+
+_OP8 = f"""WITH d AS (SELECT doc_id, lang, source, {_WORDS} AS ws,
+   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_BLACK}')) AS ls,
+   len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols FROM documents),
+ windows AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 2], ' ')) AS k FROM d, unnest(range(1, len(ws) - 1)) AS t(i)),
+ again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+ covered AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM again, unnest(range(3)) AS t(o) GROUP BY 1),
+ c AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+   CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+   CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+   len(ls) AS n_lines FROM d LEFT JOIN covered USING (doc_id)),
+ x AS (SELECT *, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols,
+   CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_lines,
+   CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_words,
+   CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS word_length FROM c),
+ sketch AS (SELECT lang, source, ratio, ceil(ln(greatest(value, 0.0001::DOUBLE)) / {_GROWTH}::DOUBLE) AS bucket
+   FROM (UNPIVOT x ON symbols, dup_lines, repeat_words, word_length INTO NAME ratio VALUE value)),
+ g AS ({_quartiles("lang, source")}), l AS ({_quartiles("lang")}), a AS ({_quartiles("")}),
+ p AS (SELECT g.lang, g.source, g.ratio, {_PICK.format("q1")}, {_PICK.format("q3")}
+   FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.ratio = l.ratio JOIN a ON a.ratio = g.ratio),
+ f AS (SELECT lang, source, max(q3 + 3 * greatest(q3 - q1, 0.08)) FILTER (ratio = 'symbols') AS max_symbols,
+   max(q3 + 3 * greatest(q3 - q1, 0.15)) FILTER (ratio = 'dup_lines') AS max_dup_lines,
+   max(q3 + 3 * greatest(q3 - q1, 0.12)) FILTER (ratio = 'repeat_words') AS max_repeat_words,
+   max(q3 + 3 * greatest(q3 - q1, 0.75)) FILTER (ratio = 'word_length') AS max_word_length,
+   max(q1 - 3 * greatest(q3 - q1, 0.75)) FILTER (ratio = 'word_length') AS min_word_length FROM p GROUP BY 1, 2)
+ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND symbols <= max_symbols AND dup_lines <= max_dup_lines
+     AND repeat_words <= max_repeat_words AND word_length <= max_word_length AND word_length >= min_word_length AS kept
+ FROM x JOIN f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source"""
+
+SQL: dict[str, str] = {"op5_fm_index": _OP5, "op7_mixing": _OP7, "op8_quality": _OP8}
