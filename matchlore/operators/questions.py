@@ -150,14 +150,15 @@ class GroupSizes:
 
 
 def _group_sizes(**tables: tuple[DataFrame, str]) -> dict[str, GroupSizes]:
-    """Sizes of several tables by a column each, in one job."""
-    counted = [
-        table.groupBy(F.col(key).alias("g")).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("n"), F.max("n").alias("m")).select(F.lit(name).alias("name"), "n", "m")
+    """Sizes of several tables by a column each, counted in one pass over all of them."""
+    groups = [
+        table.select(F.lit(name).alias("name"), F.col(key).cast("string").alias("group"))
         for name, (table, key) in tables.items()
     ]
-    rows = reduce(DataFrame.union, counted).collect()
-    return {row["name"]: GroupSizes(row["n"] or 0, row["m"] or 0) for row in rows}
+    counted = reduce(DataFrame.union, groups).groupBy("name", "group").agg(F.count(F.lit(1)).alias("n"))
+    rows = counted.groupBy("name").agg(F.sum("n").alias("n"), F.max("n").alias("m")).collect()
+    sizes = {row["name"]: GroupSizes(row["n"], row["m"]) for row in rows}
+    return {name: sizes.get(name, GroupSizes(0, 0)) for name in tables}
 
 
 def shortfall(questions: DataFrame, drawn: DataFrame, key: str) -> DataFrame:
