@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from matchlore.catalog import spans as sp
 from matchlore.catalog import standins as st
-from matchlore.functions import text as tx
 from matchlore.operators import export
 from matchlore.plans import qa
 from matchlore.sources.fact_text import match_id_of_path

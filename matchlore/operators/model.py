@@ -11,6 +11,7 @@ from matchlore.functions import labels
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.operators.ordered import OrderedGroups, first_in_group, hash_ranked
 
+# The event columns of the match table.
 EVENT_KINDS = (
     "goal", "shoton", "shotoff", "foulcommit", "card", "cross", "corner", "possession",
 )
@@ -110,6 +111,7 @@ def lookup_team(
     return left_lookup(df, key, named, "__team_key")
 
 
+# Fixed value: the text that stands for a player without a row.
 UNKNOWN_PLAYER = "unknown player"
 
 

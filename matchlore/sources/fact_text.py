@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchlore.functions.text import strip
-
 _QUOTED = r'"(?:[^"\\]++|\\.)*+"'
 _MAP = r'\{((?:[^"{}]++|' + _QUOTED + r')*+)\}'
 _ENTRY = r':([^\s"{}]+)\s+(' + _QUOTED + r'|[^\s"{}]+)'

@@ -128,3 +128,14 @@ def test_score_counts_goal_events(spark):
     )
     got = {r["match_id"]: r["score"] for r in model.recomputed_score(matches, goals).collect()}
     assert got == {1: "2:1", 2: "0:0"}
+
+
+def test_texts_that_begin_with_a_written_bracket(spark):
+    xml = (
+        "<goal><value><subtype>&lt;3 fans</subtype><a>&#60;x&#x3C;</a><b><![CDATA[<i>y]]></b><c><d>1</d></c>"
+        "<e>  <f>2</f></e><g/></value></goal>"
+    )
+    frame = spark.createDataFrame([(1, "goal", 0, xml)], "match_id int, event_kind string, kind_no int, xml string")
+    (row,) = event_elements(frame).collect()
+    filled = {k: v for k, v in row["tags"].items() if v}
+    assert filled == {"subtype": "<3 fans", "a": "<x<", "b": "<i>y"}
