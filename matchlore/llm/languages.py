@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 BUCKETS = 1 << 12
 ORDERS = (2, 3, 4)
 _PAD = b"    "
+_HASHES = 1 << 40
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
@@ -162,8 +163,12 @@ def fit(docs: DataFrame, sample: int = 300, smoothing: float = 0.5, close: float
     smooth = smoothing / counts.sum(axis=1).max()
     odds = [np.log(shares[c > 0].mean(axis=0) + smooth) - np.log(shares[c < 0].mean(axis=0) + smooth) for c in code.T]
     model.weights = np.ascontiguousarray(np.array(odds).T, np.float32)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
+    # the first by hash lie below a bound that twice as many documents should reach: only those are shuffled
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    bounds = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, 2 * sample / r["n"]) * _HASHES))])
+    near = known.withColumn("_h", F.pmod(F.xxhash64("doc_id"), F.lit(_HASHES))).where(F.col("_h") < bounds[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    few = near.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample)
     seen = few.select("lang", _margin_column(model).alias("m")).collect()
     own = np.array([languages.index(r["lang"]) for r in seen])
     m = np.array([r["m"] for r in seen])
