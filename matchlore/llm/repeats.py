@@ -29,8 +29,9 @@ from matchlore.llm.shared import stored
 
 #: Columns that name a text.
 TEXT = ("_id", "_hash")
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 18
 _PLACE = (1 << 24) - 1
+_TEXTS = 200
 OCCURRENCES = "array<struct<anchor:bigint,segment:bigint,first:int,n:int,left:int>>"
 
 
@@ -149,10 +150,12 @@ def with_segments(classes: DataFrame, texts: DataFrame, cut: Callable[[bytes, in
 
     @F.arrow_udf("array<binary>")
     def contents(text: pa.Array, firsts: pa.Array, ns: pa.Array) -> pa.Array:
-        rows = []
-        for t, first, n in zip(text, firsts.to_pylist(), ns.to_pylist()):
-            rows.append(cut((t.as_py() or "").encode(), first, n))
-        return pa.array(rows, pa.list_(pa.binary()))
+        # in runs of texts: as Python objects the contents take several times their size
+        kind, parts = pa.list_(pa.binary()), []
+        for at in range(0, len(text), _TEXTS):
+            rows = zip(text[at : at + _TEXTS], firsts[at : at + _TEXTS].to_pylist(), ns[at : at + _TEXTS].to_pylist())
+            parts.append(pa.array([cut((t.as_py() or "").encode(), first, n) for t, first, n in rows], kind))
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     joined = texts.join(wanted, list(TEXT)).select(
         "_wanted", contents("text", F.col("_wanted.first"), F.col("_wanted.n")).alias("_contents")
