@@ -3,8 +3,9 @@
 Rules decide the pages they fit. For all others the host is judged: trust flows from
 hosts with allowed pages along links (personalised PageRank), distrust flows from hosts with
 blocked pages against them (who links to a blocked host is suspect). A seed starts with the part of its
-pages that rules allow or block, so 1 is what a host has that is blocked altogether. A host is blocked where
-its distrust is above ``ratio`` times its trust and above ``least``.
+pages that rules allow or block, of which it keeps what the seeds hand on does not take away: the more hosts
+are linked, the less. A host is blocked where its distrust is above ``ratio`` times its trust and above ``least``
+times what a host keeps of itself that is blocked altogether.
 
 Hosts and weighted host edges come from one pass over urls and pages; links are counted per pair of hosts before
 anything is joined, so a host with a third of all pages is one row per host it links to. Each round is
@@ -89,7 +90,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20, settled: float = 1e-9) -> DataFrame:
-    """Personalised PageRank (host, score) of ``seeds`` (host, score) over ``edges`` (source, target, weight).
+    """Personalised PageRank (host, score) of ``seeds`` (host, score) over ``edges`` (source, target, weight)."""
+    return _spread(seeds, edges, damping, rounds, settled)[0]
+
+
+def _spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20, settled: float = 1e-9) -> tuple[DataFrame, float]:
+    """Scores as :func:`spread` gives them, and the part of its first score that a seed keeps if nothing is passed to it.
 
     What hosts without links would pass on returns to the seeds, so the sum of scores stays that of the
     seeds. Stops when scores move by less than this sum times ``settled``.
@@ -102,7 +108,7 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: in
     scores = seeds.select("host", "score")
     mass = seeds.agg(F.sum("score")).first()[0] or 0.0
     if not mass or not shares.limit(1).count():
-        return scores
+        return scores, 1.0
     for _ in range(rounds):
         passed = (
             shares.join(scores, shares["source"] == scores["host"])
@@ -119,7 +125,7 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: in
         scores = fresh
         if moved < settled * mass:
             break
-    return scores
+    return scores, back / mass
 
 
 def _seeds(hosts: DataFrame, count: str) -> DataFrame:
@@ -127,8 +133,11 @@ def _seeds(hosts: DataFrame, count: str) -> DataFrame:
     return hosts.where(F.col(count) > 0).select("host", (F.col(count) / F.col("pages")).alias("score"))
 
 
-def host_scores(placed: DataFrame) -> DataFrame:
-    """(host, trust, distrust) of every host that a seed reaches; ``placed`` comes from :func:`matched`."""
+def host_scores(placed: DataFrame) -> tuple[DataFrame, float]:
+    """(host, trust, distrust) of every host that a seed reaches, and the distrust that a wholly blocked host keeps.
+
+    ``placed`` comes from :func:`matched`.
+    """
     hosts = stored(
         placed.where("_host <> ''").groupBy(F.col("_host").alias("host")).agg(
             F.count("*").alias("pages"),
@@ -140,19 +149,22 @@ def host_scores(placed: DataFrame) -> DataFrame:
     edges = stored(host_edges(placed), "host-edges")
     back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight")
     trust = spread(_seeds(hosts, "allowed"), edges).withColumnRenamed("score", "trust")
-    distrust = spread(_seeds(hosts, "blocked"), back).withColumnRenamed("score", "distrust")
-    return trust.join(distrust, "host", "full").select(
+    distrust, kept = _spread(_seeds(hosts, "blocked"), back)
+    distrust = distrust.withColumnRenamed("score", "distrust")
+    scores = trust.join(distrust, "host", "full").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
     )
+    return scores, kept
 
 
 def judged(pages: DataFrame, ratio: float = 1.0, least: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """page_id, host, path, rule and verdict of every page, with trust and distrust of its host."""
     placed = matched(pages.select("page_id", "url", "html"), rules)
-    scores = stored(host_scores(placed), "host-verdicts").withColumnRenamed("host", "_scored")
+    scores, kept = host_scores(placed)
+    scores = stored(scores, "host-verdicts").withColumnRenamed("host", "_scored")
     joined = placed.drop("html").join(scores, F.col("_host") == F.col("_scored"), "left")
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
-    blocked = (distrust > ratio * trust) & (distrust > least)
+    blocked = (distrust > ratio * trust) & (distrust > least * kept)
     verdict = F.coalesce(F.col("_verdict"), F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
     return joined.select(
         "page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"),
