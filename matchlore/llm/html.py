@@ -47,8 +47,10 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",  # quotes that do not pair
     re.S,
 )
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=\s|$|=)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+#: Such a class says what a wrapper has or has not, not what it is.
+_LAYOUT = re.compile(r"(?:has|no|with|without)[-_]")
 _SPACE = re.compile(r"\s+")
 #: End tags that may be left out: a start tag here closes an open element of the same group.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -69,6 +71,7 @@ LABELLED = (
     "<article><p>+~4</p><p>+<a href=/>~3</a> ~10</p><aside><p>-~50</p></aside><nav><a href=/>-~2</a></nav><p>+~18</p></article>",
     "<article><h1>+~8</h1><p>+~50</p><p>+~2</p></article>", "<article><p>+~30</p><p>+~1", "<article><h1>+~4</h1><p>+~40</p><p>+~3</p><p>+~1</p>",
     "<main><p>+~12</p><p>+~70</p><p>+~4</p></main>", "<article><h1>+~3</h1></article>", "<nav><a href=/>-~1</a></nav><article><p>+~1</p></article><footer>-~1</footer>",
+    "<div class=content-sidebar-wrap><main><h1>+~5</h1><p>+~30</p><p>+~2</p></main><aside><p>-~20</p></aside></div><footer>-~9</footer>",
     # nothing but divisions
     "<div><a href=/>-~1</a></div><div><a href=/>-~2</a></div><div><a href=/>-~1</a></div><div><h1>+~7</h1></div><div>+~50</div><div>+~35</div><div>+~8</div><div>+~60</div><div><a href=/>-~3</a></div><div>-~4</div>",
     "<div><a href=/>-~2</a> <a href=/>~2</a> <a href=/>~1</a></div><p>+~40</p><p>+~28</p><p>+~16</p><p>+~30 <a href=/>~4</a></p><div><a href=/>-~4</a></div><div><a href=/>-~5</a></div>",
@@ -93,19 +96,36 @@ class Block:
     links: float = 0.0
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-cased name; the first of a name counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        out.setdefault(name.lower(), "".join(values))
+    return out
+
+
+def _hidden(raw: str) -> bool:
+    if not raw:
+        return False
+    named = _attributes(raw)
+    return "hidden" in named or named.get("aria-hidden", "").lower() == "true" or bool(_NOT_SHOWN.search(named.get("style", "")))
+
+
 def _kind(tag: str, attributes: str) -> str:
-    """What an element is to the page: frame, main or nothing of its own."""
+    """What an element is to the page: frame, main or nothing of its own; wrap if only a part of a name says frame."""
     if tag in FRAME:
         return "frame"
     if tag in MAIN:
         return "main"
     if attributes and tag not in INLINE and tag not in ("body", "html"):
-        names = {w for m in _NAMED.findall(attributes) for w in "".join(m).lower().split()}
-        parts = names | {p for w in names for p in re.split(r"[-_]", w)}
+        named = _attributes(attributes)
+        names = {w for n in ("class", "id", "role") for w in named.get(n, "").lower().split()}
         if names & MAIN_WORDS:
             return "main"
-        if parts & FRAME_WORDS:
+        if names & FRAME_WORDS:
             return "frame"
+        if {p for w in names if not _LAYOUT.match(w) for p in re.split(r"[-_]", w)} & FRAME_WORDS:
+            return "wrap"
     return ""
 
 
@@ -129,14 +149,16 @@ def blocks(page: str) -> list[Block]:
 
     def text(raw: str) -> None:
         nonlocal block
-        if not raw:
+        kinds = [k for _, k in stack]
+        if not raw or "hidden" in kinds:
             return
         if block is None:
-            kinds = [k for _, k in stack]
             names = [t for t, _ in stack]
             inner = max((i for i, k in enumerate(kinds) if k == "main"), default=-1)
             # the header of an article is not the header of the page
             frame = any(k == "frame" and not (inner >= 0 and i > inner and names[i] == "header") for i, k in enumerate(kinds))
+            # a wrapper around an article is no frame of it
+            frame |= "wrap" in kinds[inner + 1 :]
             block = Block(int(frame), int(inner >= 0), int(any(t in HEADINGS for t in names)))
         block.parts.append(raw)
         if anchors:
@@ -153,7 +175,7 @@ def blocks(page: str) -> list[Block]:
         tag, attributes = (tag or "").lower(), attributes or ""
         if not tag:
             continue
-        if not closing and (tag in UNREAD or (_HIDDEN.search(attributes) and tag not in VOID)) and not attributes.endswith("/"):
+        if not closing and tag in UNREAD and not attributes.endswith("/"):
             at = _after(page, at, tag)
             if tag not in INLINE:
                 end()
@@ -167,11 +189,12 @@ def blocks(page: str) -> list[Block]:
         elif tag not in VOID:
             if tag not in INLINE:
                 # formatting and paragraphs that were left open end here
-                while stack and stack[-1][0] in INLINE:
+                while stack and stack[-1][0] in INLINE and stack[-1][1] != "hidden":
                     stack.pop()
-                if stack and stack[-1][0] in _CLOSES.get(tag, _PARAGRAPH):
+                while stack and stack[-1][0] in _CLOSES.get(tag, _PARAGRAPH):
                     stack.pop()
-            stack.append((tag, _kind(tag, attributes)))
+            hidden = _hidden(attributes) and not attributes.endswith("/")
+            stack.append((tag, "hidden" if hidden else _kind(tag, attributes)))
         anchors = sum(t == "a" for t, _ in stack)
     end()
     return out
