@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlore.llm import mixing, packing, quality, similar, suffixes
+from matchlore.llm import mixing, packing, quality, simhash, suffixes
 from matchlore.llm.shared import stored
 
 
@@ -14,8 +14,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word similarity of 0.8 or more."""
-    return similar.deduplicated(docs)
+    """One document of each component of fingerprints within three bits."""
+    return simhash.deduplicated(docs)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
