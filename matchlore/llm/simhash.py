@@ -222,20 +222,27 @@ def near_duplicates(docs: DataFrame, bits: int = 3, size: int = 3, seed: int = 4
 
 
 def classes(printed: DataFrame, bits: int = 3) -> DataFrame:
+    """``printed`` (doc_id, fp and any more columns) with the component_id of each row's fingerprint."""
     nodes = stored(printed.groupBy("fp").agg(F.min("doc_id").alias("node")), "fingerprint-nodes")
     found = components(links(nodes.where("node is not null"), bits))
     named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return printed.join(named, "fp").select("doc_id", "fp", "component_id")
+    return printed.join(named, "fp").select(*printed.columns, "component_id")
 
 
 def deduplicated(docs: DataFrame, bits: int = 3, size: int = 3, seed: int = 42) -> DataFrame:
-    """One document of each component, the one of least id, with all its columns.
+    """One document of each component, with all its columns.
 
-    Rows that share an id are one document, of which one row stays. Rows without an id cannot be named and stay.
+    It is the row whose id leads the component. Of several rows with that id in the component the one whose
+    columns have the least digest stays, so the choice does not depend on the partitioning. Rows that share an
+    id but no component stay one each where they lead. Rows without an id cannot be named and stay.
     """
     names = docs.columns
-    found = near_duplicates(docs, bits, size, seed)
-    kept = stored(found.select(F.col("component_id").alias("_kept")).where("_kept is not null").distinct(), "kept-documents")
-    joined = docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    once = joined.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).where("_nth = 1")
+    digest = F.md5(F.to_json(F.struct(*[docs[c] for c in names])))
+    own = docs.where("doc_id is not null").select("*", digest.alias("__digest"))
+    printed = stored(own.select("doc_id", fingerprints("text", size, seed).alias("fp"), "__digest"), "fingerprints")
+    leading = classes(printed, bits).where("component_id = doc_id")
+    kept = stored(leading.groupBy("doc_id").agg(F.min("__digest").alias("__digest")), "kept-documents")
+    joined = own.join(kept, ["doc_id", "__digest"], "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "__digest").orderBy("doc_id"))
+    once = joined.withColumn("__nth", nth).where("__nth = 1")
     return once.select(*names).union(docs.where("doc_id is null"))

@@ -97,3 +97,17 @@ def test_tally_keeps_what_can_be_near():
     left = np.array([0, 0x0101010101010101], np.uint64)
     a, b = simhash.linked(left, np.array([7, 0x0101, 0xFFFF], np.uint64), 5, 3)
     assert sorted(zip(a.tolist(), b.tolist())) == [(0, 0), (0, 1)]
+
+
+def test_deduplicated_does_not_depend_on_partitions(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven eight nine"
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "y"), (5, b, "z"), (5, b, "z"), (None, a, None), (7, "", "e"), (6, None, "e")]
+    expected = [(3, a, "x"), (6, None, "e"), (None, a, None)]
+    for parts in (1, 7):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, fp string").repartition(parts)
+        found = [tuple(r) for r in simhash.deduplicated(docs).collect()]
+        assert sorted(set(found) & set(expected), key=str) == sorted(expected, key=str)
+        (rest,) = [r for r in found if r not in expected]
+        assert rest[:2] == (5, b) and len(found) == 4
+        chosen = rest if parts == 1 else chosen
+        assert rest == chosen
