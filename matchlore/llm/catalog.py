@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchlore.llm import fmindex, html, languages, links, mixing, packing, quality, simhash, suffixes, vantage
+from matchlore.llm import (
+    filters, fmindex, html, languages, links, mixing, packing, quality, resampling, secrets, simhash, suffixes, vantage,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
@@ -55,6 +58,19 @@ def op10_url_trust(spark: SparkSession, folder: str) -> DataFrame:
     return links.judged(_table(spark, folder, "pages", "page_id", "url", "html"))
 
 
+def op11_grammar_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(_table(spark, folder, "documents", "doc_id", "text"))
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(_table(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "benchmark", "text"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents", "doc_id", "text", "lang")
+    return filters.interactions(docs, _table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_blocks": op1_html_blocks,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -66,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_vantage_trees": op9_vantage_trees,
     "op10_url_trust": op10_url_trust,
+    "op11_grammar_secrets": op11_grammar_secrets,
+    "op12_importance": op12_importance,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _BLACK = r"[^\x20\x09-\x0D]"
@@ -142,4 +161,58 @@ _OP8 = f"""WITH d AS (SELECT doc_id, lang, source, {_WORDS} AS ws,
      AND repeat_words <= max_repeat_words AND word_length <= max_word_length AND word_length >= min_word_length AS kept
  FROM x JOIN f ON x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source"""
 
-SQL: dict[str, str] = {"op5_fm_index": _OP5, "op7_mixing": _OP7, "op8_quality": _OP8}
+_LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+_TOKENS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: The remainders of all bytes, and a word's checksum as a fold over its bytes.
+_HALVE = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+_CRC_TABLE = f"list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: {_HALVE}))"
+_CRC = """xor(list_reduce([4294967295::BIGINT] || list_transform(range(strlen(word)),
+     lambda i: CAST('0x' || hex(word)[2 * i + 1 : 2 * i + 2] AS BIGINT)),
+   lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+_OP12 = f"""WITH remainder AS (SELECT {_CRC_TABLE} AS remainders),
+ d AS (SELECT doc_id, {_TOKENS} AS ws FROM documents), b AS (SELECT {_TOKENS} AS ws FROM benchmark),
+ dw AS (SELECT doc_id, word, count(*) AS n FROM d, unnest(ws) AS t(word) GROUP BY ALL),
+ bw AS (SELECT word, count(*) AS n FROM b, unnest(ws) AS t(word) GROUP BY ALL),
+ c AS (SELECT word, {_CRC} % 10000 AS bucket FROM (SELECT word FROM dw UNION SELECT word FROM bw), remainder),
+ s AS (SELECT bucket, sum(n) AS s FROM dw JOIN c USING (word) GROUP BY 1),
+ t AS (SELECT bucket, sum(n) AS t FROM bw JOIN c USING (word) GROUP BY 1),
+ gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+   / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS g
+   FROM s FULL JOIN t USING (bucket)),
+ w AS (SELECT doc_id, sum(n * g) AS w FROM dw JOIN c USING (word) JOIN gain USING (bucket) GROUP BY 1),
+ x AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(w, 0) AS BIGINT) AS weight,
+   CAST('0x' || sha256('2024:' || d.doc_id)[1:8] AS BIGINT) AS h FROM d LEFT JOIN w ON d.doc_id = w.doc_id),
+ y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+ z AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM y WHERE n_features >= 20)
+ SELECT y.doc_id, n_features, weight, score, CASE WHEN r <= floor(10 * n / 100) THEN r END AS rank
+ FROM y LEFT JOIN z ON y.doc_id = z.doc_id"""
+
+_ORDERS = """orders AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM fs a, fs b, fs c, fs d, fs e
+   WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+ steps AS (SELECT filter_order, step, filter_order[step] AS f, filter_order[1:step - 1] AS earlier
+   FROM orders, unnest(range(1, 6)) AS t(step))"""
+
+_OP13 = f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+ l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS quality, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY 1),
+ j AS (SELECT part, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic,
+     CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+     || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+     || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END
+     || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+     || CASE WHEN min(d.doc_id) OVER (PARTITION BY t) < d.doc_id THEN 'E' ELSE '' END AS failed
+   FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+ g AS (SELECT part, failed, quality, toxic, count(*) AS n FROM j GROUP BY ALL),
+ fs AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), {_ORDERS},
+ x AS (SELECT part, filter_order, step, f, n, quality, toxic, failed = f AS alone, contains(failed, f) AS fails,
+   translate(failed, earlier, '') <> failed AS before FROM g, steps)
+ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(sum(n) FILTER (NOT fails AND NOT before), 0) AS BIGINT) AS kept,
+   CAST(coalesce(sum(n) FILTER (fails AND NOT before), 0) AS BIGINT) AS removed,
+   CAST(coalesce(sum(n) FILTER (fails AND before), 0) AS BIGINT) AS redundant,
+   CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails,
+   CAST(coalesce(sum(n) FILTER (fails AND NOT before AND quality = 1), 0) AS BIGINT) AS good_lost,
+   CAST(coalesce(sum(n) FILTER (fails AND NOT before AND toxic = 1), 0) AS BIGINT) AS toxic_lost,
+   CAST(sum(coalesce(sum(n) FILTER (fails AND NOT before), 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+ FROM x GROUP BY part, filter_order, step, f"""
+
+SQL: dict[str, str] = {"op5_fm_index": _OP5, "op7_mixing": _OP7, "op8_quality": _OP8, "op12_importance": _OP12, "op13_filter_audit": _OP13}

@@ -47,7 +47,7 @@ def test_stages_on_the_table(spark, data, tmp_path):
 def test_registered():
     found = __spark_entry__.queries()
     assert set(catalog.QUERIES) | {"pipeline"} <= set(found)
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 def test_run(spark, data):
