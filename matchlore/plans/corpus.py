@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from matchlore.operators import events as ev
 from matchlore.operators import facts as fx
@@ -14,6 +15,7 @@ from matchlore.operators import model, reports
 from matchlore.operators.rules import Rule
 from matchlore.session import reliable
 from matchlore.sources import fact_text
+from matchlore.sources.runs import RunFolder
 
 # Rules of our own: what the report says about an event.
 REPORT_RULES = (
@@ -27,9 +29,14 @@ REPORT_RULES = (
 )
 
 
+_TEXTS = StructType([
+    StructField("match_id", LongType()), StructField("context", StringType()), StructField("text", StringType())
+])
+
+
 @dataclass(frozen=True)
 class Corpus:
-    """``matches`` are scored; ``reports`` and ``fact_texts`` are (match_id, part, text) rows."""
+    """``matches`` are scored; ``reports`` (match_id, context) and ``fact_texts`` (match_id, text) have a row per match."""
 
     matches: DataFrame
     events: DataFrame
@@ -114,3 +121,27 @@ def _fact_texts(matches: DataFrame, events: DataFrame) -> DataFrame:
     return fact_text.fact_texts(
         rendered(match_rows, match_names).unionByName(kept), "match_id"
     )
+
+
+def _text_runs(spark: SparkSession, folder: str) -> RunFolder:
+    return RunFolder(spark, folder, _TEXTS, "match_id")
+
+
+def write_corpus(built: Corpus, folder: str, run: str | None = None) -> int:
+    """Adds the report and the fact text of every match the folder does not have; returns how many matches.
+
+    Both texts of a match are one row, so a match is finished with both or not at all.
+    """
+    texts = built.reports.join(built.fact_texts, "match_id").select("match_id", "context", "text")
+    return _text_runs(built.reports.sparkSession, folder).add(texts, run)
+
+
+def finished_matches(spark: SparkSession, folder: str) -> DataFrame:
+    """(match_id): the matches that need no further run, the ``done`` of ``build_corpus``."""
+    return _text_runs(spark, folder).finished()
+
+
+def read_corpus(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Reports and fact texts of all runs."""
+    texts = _text_runs(spark, folder).read()
+    return texts.select("match_id", "context"), texts.select("match_id", "text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,14 @@ def reliable(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def kept_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read from there.
+
+    Unlike a checkpoint its size is known to the planner, which then broadcasts it if it is small and only then.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

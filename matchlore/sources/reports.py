@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchlore.functions.text import strip
+from matchlore.sources.runs import RunFolder
 
 
 def read_lines(spark: SparkSession, folder: str, keep_blank: bool = False) -> DataFrame:
@@ -16,16 +18,20 @@ def read_lines(spark: SparkSession, folder: str, keep_blank: bool = False) -> Da
     return lines if keep_blank else lines.filter(F.col("line") != "")
 
 
-def write_texts(texts: DataFrame, folder: str, key: str, text: str, buckets: int = 64) -> None:
-    """Texts with their key as JSON lines, grouped by key hash into ``buckets`` folders.
+def text_runs(spark: SparkSession, folder: str, key: StructField, text: str) -> RunFolder:
+    """The folder that runs add (key, text) rows to, as JSON lines."""
+    return RunFolder(spark, folder, StructType([key, StructField(text, StringType())]), key.name, "json")
 
-    Written again, a bucket takes the place of the one before. With 0 buckets every key gets a folder of its
-    own with the plain text, which suits small sets only.
+
+def write_texts(texts: DataFrame, folder: str, key: str, text: str, run: str | None = None) -> int:
+    """Adds the texts that the folder does not have yet, as a run of their own; returns how many.
+
+    Texts of earlier runs stay as they are.
     """
-    by_key = {"partitionOverwriteMode": "dynamic"}
-    if buckets:
-        spread = texts.select(key, text, F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"))
-        spread.repartition("bucket").write.mode("overwrite").options(**by_key).partitionBy("bucket").json(folder)
-    else:
-        plain = texts.select(key, F.col(text).alias("value"))
-        plain.write.mode("overwrite").options(**by_key).partitionBy(key).text(folder)
+    return text_runs(texts.sparkSession, folder, texts.schema[key], text).add(texts.select(key, text), run)
+
+
+def write_text_folders(texts: DataFrame, folder: str, key: str, text: str) -> None:
+    """The plain text of every key in a folder of its own, which suits small sets only; other keys' folders stay."""
+    plain = texts.select(key, F.col(text).alias("value"))
+    plain.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(folder)

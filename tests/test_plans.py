@@ -75,11 +75,13 @@ def test_question_files(spark, tmp_path):
 
 def test_text_files(spark, tmp_path):
     texts = spark.createDataFrame([(1, "a \n\nb"), (2, "c")], "match_id int, text string")
-    for name, buckets in (("folders", 0), ("buckets", 4), ("folders", 0), ("buckets", 4)):
-        report_files.write_texts(texts, str(tmp_path / name), "match_id", "text", buckets)
+    for _ in range(2):
+        report_files.write_text_folders(texts, str(tmp_path / "folders"), "match_id", "text")
     lines = report_files.read_lines(spark, str(tmp_path / "folders"))
     assert sorted(r["line"] for r in lines.collect()) == ["a", "b", "c"]
-    assert spark.read.json(str(tmp_path / "buckets")).count() == 2
+    assert [report_files.write_texts(texts, str(tmp_path / "runs"), "match_id", "text") for _ in range(2)] == [2, 0]
+    kept = report_files.text_runs(spark, str(tmp_path / "runs"), texts.schema["match_id"], "text").read()
+    assert sorted((r["match_id"], r["text"]) for r in kept.collect()) == [(1, "a \n\nb"), (2, "c")]
 
 
 def test_only_long_and_new_matches_are_asked(spark, built):
@@ -119,6 +121,24 @@ def test_finished_matches_are_left_out_of_the_corpus(spark, data, built):
     assert again.matches.count() == built.matches.count() - 5
 
 
+def test_a_second_run_adds_what_the_first_left_out(spark, data, built, tmp_path):
+    folder, matches = str(tmp_path / "corpus"), built.matches.count()
+    some = replace(built, reports=built.reports.filter("match_id % 3 = 0"), fact_texts=built.fact_texts.filter("match_id % 3 = 0"))
+    first = corpus.write_corpus(some, folder)
+    done = corpus.finished_matches(spark, folder)
+    assert first == done.count() < matches
+    match = ce._xml_matches(spark, data).join(st.matches(spark, data), "id")
+    tables = {"Match": match, "Team": st.teams(spark, data), "Country": st.countries(spark, data),
+              "League": st.leagues(spark, data), "Player": st.players(spark, data)}
+    again = corpus.build_corpus(tables, seed=3, whole_match_rule=False, done=done)
+    assert corpus.write_corpus(again, folder) == matches - first
+    assert corpus.write_corpus(built, folder) == 0
+    reports, facts = corpus.read_corpus(spark, folder)
+    key = ["match_id", "context"]
+    assert reports.select(*key).exceptAll(built.reports.select(*key)).count() == 0
+    assert reports.count() == facts.count() == corpus.finished_matches(spark, folder).count() == matches
+
+
 def test_sections_and_traces(spark):
     text = "x\n;;# Schema\n;; note\ns1\n;;# data\n d1\nd2\n"
     texts = spark.createDataFrame([(1, text)], "k int, text string")
