@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("model", "events", "facts", "reports", "questions", "spans", "export")
+_MODULES = ("model", "events", "facts", "reports", "questions", "spans", "export", "files")
 
 
 def _merged(attribute: str) -> dict:

@@ -156,6 +156,30 @@ def coref_alternation(spark, folder):
     )
 
 
+def _carried(spark, folder, hold):
+    """Two of three events name their kind; an event of the same kind refers to it."""
+    events = read_table(spark, folder, "events", "user_id", "ts", "event_id", "event_type")
+    named = F.struct(F.col("event_type").alias("subject"), F.col("event_id").alias("source"))
+    found = ev.carried_values(
+        events, ["user_id"], [F.col("ts"), F.col("event_id")], F.when(F.col("event_id") % 3 != 0, named),
+        lambda carried: carried["subject"] == F.col("event_type"), hold,
+    )
+    return found.select(
+        "user_id", "event_id", F.col("carried.subject").alias("carried_subject"),
+        F.col("carried.source").alias("carried_from"), F.col("carried_used").alias("used"),
+    )
+
+
+def coref_replacements(spark, folder):
+    """What each event can refer to, kept until an event has used or replaced it."""
+    return _carried(spark, folder, True)
+
+
+def coref_handed_on(spark, folder):
+    """What each event is handed by the one right before it."""
+    return _carried(spark, folder, False)
+
+
 def flatten_kinds(spark, folder):
     """Events kept per kind, put into one list again."""
     events = st.match_events(spark, folder)
@@ -177,7 +201,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         xml_events, match_events, match_events_each, card_norm, team_role, invalid_filter,
-        deleted_filter, event_order, consecutive_dedup, coref_alternation, flatten_kinds,
+        deleted_filter, event_order, consecutive_dedup, coref_alternation, coref_replacements,
+        coref_handed_on, flatten_kinds,
         events_per_match_hist,
     )
 }
@@ -224,7 +249,24 @@ _MATCH_EVENTS = f"""WITH {st.TEAMS_SQL}, {st.MATCHES_SQL}, {_ELEMENTS},
  FROM kept LEFT JOIN supplier ON s_suppkey = TRY_CAST(player1 AS BIGINT)
  WHERE role IS NOT NULL AND coalesce(del, '') <> '1'"""
 
+
+
+def _carried_sql(otherwise_subject: str, otherwise_source: str) -> str:
+    """Event by event: what was used is gone, what is named replaces the rest."""
+    return f"""WITH RECURSIVE o AS (SELECT user_id, event_id, event_type, event_id % 3 <> 0 AS names,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+     s AS (SELECT *, CAST(NULL AS VARCHAR) AS subject, CAST(NULL AS BIGINT) AS source FROM o WHERE pos = 1
+       UNION ALL SELECT o.*,
+         CASE WHEN s.subject = s.event_type THEN NULL WHEN s.names THEN s.event_type ELSE {otherwise_subject} END,
+         CASE WHEN s.subject = s.event_type THEN NULL WHEN s.names THEN s.event_id ELSE {otherwise_source} END
+       FROM s JOIN o ON o.user_id = s.user_id AND o.pos = s.pos + 1)
+     SELECT user_id, event_id, subject AS carried_subject, source AS carried_from,
+       coalesce(subject = event_type, false) AS used FROM s"""
+
+
 SQL = {
+    "coref_replacements": _carried_sql("s.subject", "s.source"),
+    "coref_handed_on": _carried_sql("NULL", "NULL"),
     "xml_events": f"""WITH {_ELEMENTS} SELECT match_id, event_kind, CAST(kind_no AS BIGINT) AS kind_no,
         CAST(position AS BIGINT) AS position, elapsed, sortorder, elapsed_plus,
         elapsed + elapsed_plus AS minute, event_id, event_type, event_type_id, player1, player2,

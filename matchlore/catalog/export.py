@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from matchlore.catalog import spans as sp
 from matchlore.catalog import standins as st
 from matchlore.operators import export
 from matchlore.plans import qa
+from matchlore.session import shared_folder
 from matchlore.sources.fact_text import match_id_of_path
 from matchlore.sources.tables import read_table
 
@@ -65,26 +68,35 @@ def joined_sources(spark, folder):
     return export.join_sources(questions, reports, labels, "doc_id")
 
 
-def question_set(spark, folder):
+def _question_plan(spark, folder):
     """The question plan on the event table: matches with long texts that are not done, their questions and answers.
 
-    Customers are matches; a report and the document of the same number are their texts.
+    Customers are matches; a report and the document of the same number are their texts, labels name the finished ones.
     """
     events = st.match_events(spark, folder).withColumn("pos", F.col("eid")).withColumn(
         "player1", F.struct(F.col("player1").alias("name"))
     )
     matches = st.match_numbers(spark, folder)
     texts = read_table(spark, folder, "documents", F.col("doc_id").alias("match_id"), "text")
-    done = matches.filter("match_id % 11 = 0").select("match_id")
-    asked = qa.question_set(
-        matches, events, st.SEED, sp.reports_of(spark, folder), texts, done, min_lines=4
-    )
-    return asked.filter("level <> 'drawn'").select(
+    done = read_table(spark, folder, "labels", F.col("doc_id").alias("match_id"))
+    return qa.question_set(matches, events, st.SEED, sp.reports_of(spark, folder), texts, done, min_lines=4)
+
+
+def question_set(spark, folder):
+    """The questions that were made for a match, on either level."""
+    return _question_plan(spark, folder).filter("level <> 'drawn'").select(
         "match_id", "question_key", "level", "rule", "category", "question", "datalog", "answer",
         "answertype", "unanswerable",
     )
 
 
+def question_set_drawn(spark, folder):
+    """The questions of other matches that the plan adds as unanswerable ones."""
+    return _question_plan(spark, folder).filter("level = 'drawn'").select(
+        "match_id", "question_key", "rule", "category", "question", "datalog", "answer", "answertype", "unanswerable"
+    )
+
+
 def _asked(spark, folder):
     """A question per event: for its minute, its player, or a number."""
     key = F.col("eid")
@@ -115,9 +127,8 @@ def _dataset(spark, folder):
     return qa.dataset(_asked(spark, folder), contexts, texts, st.SEED)
 
 
-def nested_export(spark, folder):
-    """Nested documents of the whole event table, flattened to one row per answer."""
-    documents = _dataset(spark, folder).documents
+def _flattened(documents):
+    """One row per answer of nested documents."""
     paragraphs = documents.select("version", "split", F.explode("data").alias("d")).select(
         "version", "split", "d.title", F.explode("d.paragraphs").alias("p")
     ).select("version", "split", "title", F.length("p.context").alias("size"), F.explode("p.qas").alias("qa"),
@@ -133,6 +144,18 @@ def nested_export(spark, folder):
     )
 
 
+def nested_export(spark, folder):
+    """Nested documents of the whole event table, flattened."""
+    return _flattened(_dataset(spark, folder).documents)
+
+
+def nested_roundtrip(spark, folder):
+    """The same documents written as JSON lines per split and read back."""
+    files = f"{shared_folder(spark)}/nested-{uuid.uuid4().hex}"
+    export.write_documents(_dataset(spark, folder).documents, files)
+    return _flattened(export.read_documents(spark, files))
+
+
 def export_counters(spark, folder):
     return _dataset(spark, folder).counts()
 
@@ -141,7 +164,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         question_ids, repeated_ids, document_titles, answertype_override, file_keys, joined_sources,
-        nested_export, export_counters, question_set,
+        nested_export, nested_roundtrip, export_counters, question_set, question_set_drawn,
     )
 }
 
@@ -190,13 +213,13 @@ _DATASET = f"""{sp._REPORTS},
    UNION ALL SELECT eid, answer, size0 + strpos(substr(full_context, size0 + 1), 'NUM' || answer) + 2 FROM y
      WHERE NOT is_impossible AND answertype = 'numeric')"""
 
-_QUESTION_SET = f"""{sp._REPORTS}, gate AS (
+_QUESTION_SET = f"""{sp._REPORTS}, gate AS MATERIALIZED (
    SELECT mn.* FROM mn JOIN rep USING (match_id) JOIN documents ON doc_id = match_id
-   WHERE match_id % 11 <> 0
+   WHERE match_id NOT IN (SELECT doc_id FROM labels)
      AND len(list_filter(string_split(context, chr(10)), lambda x: {st.strip_sql('x')} <> '')) >= 4
      AND len(list_filter(string_split(text, chr(10)), lambda x: {st.strip_sql('x')} <> '')) >= 4),
- e AS (SELECT * FROM ev WHERE match_id IN (SELECT match_id FROM gate)),
- res AS (
+ e AS MATERIALIZED (SELECT * FROM ev WHERE match_id IN (SELECT match_id FROM gate)),
+ res AS MATERIALIZED (
    SELECT match_id, concat_ws('|', ':event/player', event_kind, CAST(minute AS VARCHAR), team) AS datalog,
      arg_min(player1, eid) AS answer FROM e GROUP BY 1, 2
    UNION ALL SELECT match_id, concat_ws('|', ':event/minute', event_kind, player1),
@@ -204,7 +227,7 @@ _QUESTION_SET = f"""{sp._REPORTS}, gate AS (
    UNION ALL SELECT match_id, concat_ws('|', 'count', event_kind, team), CAST(count(*) AS VARCHAR) FROM e GROUP BY 1, 2
    UNION ALL SELECT match_id, 'count', CAST(count(*) AS VARCHAR) FROM e GROUP BY 1
    UNION ALL SELECT match_id, 'home|' || awayteam, hometeam FROM gate),
- tries AS (SELECT match_id, awayteam, pos, md5('42:' || match_id || ':' || pos) AS h
+ tries AS MATERIALIZED (SELECT match_id, awayteam, pos, md5('42:' || match_id || ':' || pos) AS h
    FROM gate CROSS JOIN (SELECT unnest(range(1, 21)) AS pos)),
  m AS (SELECT match_id, 'match' AS level, CASE WHEN md5(h || ':Q_A_1') < md5(h || ':Q_A_2') THEN 'Q_A_1' ELSE 'Q_A_2' END AS rule,
    awayteam FROM tries),
@@ -212,7 +235,7 @@ _QUESTION_SET = f"""{sp._REPORTS}, gate AS (
    CASE rule WHEN 'Q_A_1' THEN 'Who plays at home against ' || awayteam || '?' ELSE 'How many events are there?' END AS question,
    CASE rule WHEN 'Q_A_1' THEN 'home|' || awayteam ELSE 'count' END AS datalog,
    CASE rule WHEN 'Q_A_1' THEN 'text' ELSE 'numeric' END AS answertype FROM m),
- eh AS (SELECT *, md5('42:' || match_id || ':' || eid) AS h FROM e),
+ eh AS MATERIALIZED (SELECT *, md5('42:' || match_id || ':' || eid) AS h FROM e),
  er AS (SELECT *, CASE least(md5(h || ':Q_E_WHO'), md5(h || ':Q_E_WHEN'), md5(h || ':Q_E_MANY'))
      WHEN md5(h || ':Q_E_WHO') THEN 'Q_E_WHO' WHEN md5(h || ':Q_E_WHEN') THEN 'Q_E_WHEN' ELSE 'Q_E_MANY' END AS rule FROM eh),
  ea AS (SELECT match_id, 'event' AS level, rule, CASE rule WHEN 'Q_E_WHO' THEN 'Player' WHEN 'Q_E_WHEN' THEN 'Simple' ELSE 'Count' END AS category,
@@ -225,16 +248,39 @@ _QUESTION_SET = f"""{sp._REPORTS}, gate AS (
      WHEN 'Q_E_WHEN' THEN concat_ws('|', ':event/minute', event_kind, player1)
      ELSE concat_ws('|', 'count', event_kind, team) END AS datalog,
    CASE rule WHEN 'Q_E_WHO' THEN 'text' WHEN 'Q_E_WHEN' THEN 'minute' ELSE 'numeric' END AS answertype, h, eid FROM er),
- ef AS (SELECT ea.*, answer FROM ea JOIN res USING (match_id, datalog) WHERE trim(answer) <> ''
+ ef AS MATERIALIZED (SELECT ea.*, answer FROM ea JOIN res USING (match_id, datalog) WHERE trim(answer) <> ''
    QUALIFY row_number() OVER (PARTITION BY match_id, rule ORDER BY h, eid) = 1),
- both_levels AS (
+ both_levels AS MATERIALIZED (
    SELECT match_id, level, rule, category, question, datalog, answertype, answer FROM ef
    UNION ALL SELECT match_id, level, rule, category, question, datalog, answertype, coalesce(answer, '')
    FROM ma LEFT JOIN res USING (match_id, datalog))"""
 
+_NESTED = f"""WITH RECURSIVE {_DATASET} SELECT '2.0' AS version, split, title,
+          length(full_context) AS size, rule, question, answertype, is_impossible, text, answer_start,
+          substr(full_context, answer_start + 1, length(text)) AS found
+        FROM y LEFT JOIN ans USING (eid) WHERE is_impossible OR ans.eid IS NOT NULL"""
+
+# Brute force: everything a match may be asked is listed and drawn from by rank.
+_DRAWN = f"""{_QUESTION_SET}, k AS MATERIALIZED (SELECT *, match_id || '_' || level || '_' || rule AS question_key FROM both_levels),
+ cnt AS (SELECT match_id, count(*) AS n FROM k GROUP BY 1),
+ free AS MATERIALIZED (SELECT cnt.match_id, k.question_key, k.rule, k.category, k.question, k.datalog, k.answertype,
+   row_number() OVER (PARTITION BY cnt.match_id ORDER BY md5('42:' || k.datalog), k.datalog, k.question_key) - 1 AS r,
+   count(*) OVER (PARTITION BY cnt.match_id) AS free
+   FROM cnt JOIN k ON k.match_id <> cnt.match_id
+   WHERE NOT EXISTS (SELECT 1 FROM res WHERE res.match_id = cnt.match_id AND res.datalog = k.datalog)),
+ slots AS (SELECT match_id, n, unnest(range(n // 4 + 1)) AS slot FROM cnt),
+ sized AS (SELECT match_id, slot, free, least(n // 4 + 1, free) AS wanted
+   FROM slots JOIN (SELECT DISTINCT match_id, free FROM free) USING (match_id)),
+ drawn AS (SELECT match_id, slot, slot * (free // wanted) + least(slot, free % wanted)
+     + CAST('0x' || substr(md5('42:' || match_id || ':' || slot), 1, 15) AS BIGINT)
+       % (free // wanted + CASE WHEN slot < free % wanted THEN 1 ELSE 0 END) AS at FROM sized WHERE slot < wanted)"""
+
 SQL = {
     "question_set": f"""WITH {_QUESTION_SET} SELECT match_id, match_id || '_' || level || '_' || rule AS question_key,
         level, rule, category, question, datalog, answer, answertype, false AS unanswerable FROM both_levels""",
+    "question_set_drawn": f"""WITH {_DRAWN} SELECT d.match_id, 'n_' || d.match_id || '_' || slot AS question_key, rule, category,
+        question, datalog, '' AS answer, answertype, true AS unanswerable
+        FROM drawn d JOIN free f ON f.match_id = d.match_id AND f.r = d.at""",
     "question_ids": f"SELECT event_id, {_ID.format(low=10000000, span=90000000)} AS id FROM events",
     "repeated_ids": f"SELECT {_ID.format(low=100, span=900)} AS id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1",
     "document_titles": f"""SELECT doc_id, string_split({st.strip_sql('text')}, chr(10))[1] AS title
@@ -244,10 +290,8 @@ SQL = {
     "file_keys": "SELECT doc_id, doc_id AS match_id FROM documents",
     "joined_sources": """SELECT doc_id, 'Language of ' || source AS question, text,
         CAST(quality AS BIGINT) AS quality FROM documents JOIN labels USING (doc_id)""",
-    "nested_export": f"""WITH RECURSIVE {_DATASET} SELECT '2.0' AS version, split, title,
-          length(full_context) AS size, rule, question, answertype, is_impossible, text, answer_start,
-          substr(full_context, answer_start + 1, length(text)) AS found
-        FROM y LEFT JOIN ans USING (eid) WHERE is_impossible OR ans.eid IS NOT NULL""",
+    "nested_export": _NESTED,
+    "nested_roundtrip": _NESTED,
     "export_counters": f"""WITH RECURSIVE {_DATASET}, s AS (SELECT split, CASE
           WHEN is_impossible OR eid IN (SELECT eid FROM ans) THEN 'added'
           WHEN answertype = 'minute' THEN 'minute_not_found' ELSE 'answer_not_found' END AS status FROM y)

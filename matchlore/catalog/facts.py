@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from matchlore.catalog import standins as st
 from matchlore.functions import labels
+from matchlore.operators import changes
 from matchlore.operators import events as ev
 from matchlore.operators import facts as fx
 from matchlore.sources import fact_text
@@ -15,6 +16,8 @@ _ATTRS = {
     "event_kind": "event/type", "minute": "event/minute", "team": "event/team",
     "player1": "event/player1", "player2": "event/player2",
 }
+# The values that change; the missing sixth is NULL.
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def _numbered_events(spark, folder):
@@ -159,6 +162,25 @@ def chained_query(spark, folder):
     return loose.join(strict.withColumnRenamed("value", "strict_value"), "match_id")
 
 
+def chained_three(spark, folder):
+    """First buyer and side, then that buyer's first error on that side, then a click in the minute of the error.
+
+    Where there is no error the third question is asked with the buyer, whom no minute equals.
+    """
+    events = st.match_events(spark, folder)
+
+    def of(kind):
+        return events.filter(F.col("event_kind") == kind)
+
+    steps = [
+        fx.Step(of("purchase"), ["player1", "team"], order=["minute", "eid"]),
+        fx.Step(of("error"), ["minute", "player1"], takes=["player1", "team"], order=["minute", "eid"]),
+        fx.Step(of("click"), ["eid"], takes=["minute"], order=["minute", "eid"]),
+    ]
+    found = fx.chain(st.match_numbers(spark, folder).select("match_id"), steps, "match_id")
+    return found.select("match_id", F.array_join("value", "|", "none").alias("value"), "step")
+
+
 def first_answers(spark, folder):
     return _chain_steps(spark, folder)[0]
 
@@ -210,12 +232,40 @@ def fact_cas(spark, folder):
     return fx.compare_and_set(facts, updates, ["entity_id"])
 
 
+def fact_cas_chain(spark, folder):
+    """The segment of a customer after all its orders, each of which changes one segment into another."""
+    customer = read_table(spark, folder, "customer", "c_custkey", "c_mktsegment")
+    orders = read_table(spark, folder, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    names = F.array(*[F.lit(name) for name in SEGMENTS])
+    updates = orders.select(
+        F.col("o_custkey").alias("entity_id"),
+        "o_orderdate", "o_orderkey",
+        F.get(names, (F.col("o_orderkey") % 6).cast("int")).alias("expected"),
+        F.get(names, (F.substring("o_orderpriority", 1, 1).cast("int") * 7 + F.col("o_orderkey") % 11).cast("int") % 6).alias("new"),
+    )
+    facts = customer.select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("value"))
+    return changes.compare_and_set_in_order(facts, updates, ["entity_id"], ["o_orderdate", "o_orderkey"])
+
+
+def fact_cas_repeats(spark, folder):
+    """Several updates of one key at once: none multiplies a row."""
+    customer = read_table(spark, folder, "customer", "c_custkey", "c_mktsegment")
+    facts = customer.select(F.col("c_custkey").alias("entity_id"), F.col("c_mktsegment").alias("value"))
+    orders = read_table(spark, folder, "orders", "o_custkey", "o_orderkey", "o_orderpriority")
+    updates = orders.select(
+        F.col("o_custkey").alias("entity_id"), F.get(F.array(*[F.lit(n) for n in SEGMENTS]), (F.col("o_orderkey") % 6).cast("int")).alias("expected"),
+        F.col("o_orderpriority").alias("new"),
+    )
+    return fx.compare_and_set(facts, updates, ["entity_id"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         pattern_count, pattern_values, conjunctive_pattern, facts_melt, facts_pivot, fact_text_roundtrip,
         attribute_namespaces, qualified_ids, param_query, ref_traverse, multi_value, chained_query,
         first_answers, denormalise_parent, copied_facts, fact_add_set, fact_cas,
+        fact_cas_chain, fact_cas_repeats, chained_three,
     )
 }
 
@@ -235,7 +285,35 @@ _CHAIN = f"""{st.EVENTS_SQL}, s1 AS (SELECT match_id,
    FROM ev e JOIN s1 ON s1.match_id = e.match_id AND s1.value = e.player1
    WHERE event_kind = 'error' GROUP BY 1)"""
 
+_SEGMENTS = "[" + ", ".join(f"'{name}'" for name in SEGMENTS) + ", NULL]"
+
 SQL = {
+    "fact_cas_chain": f"""WITH RECURSIVE u AS (SELECT o_custkey AS entity_id,
+          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey, o_orderkey % 6) AS pos,
+          {_SEGMENTS}[o_orderkey % 6 + 1] AS expected,
+          {_SEGMENTS}[(CAST(o_orderpriority[1] AS INT) * 7 + o_orderkey % 11) % 6 + 1] AS new FROM orders),
+        s AS (SELECT c_custkey AS entity_id, c_mktsegment AS value, CAST(0 AS BIGINT) AS changes, 0 AS pos FROM customer
+          UNION ALL SELECT s.entity_id, CASE WHEN s.value IS NOT DISTINCT FROM u.expected THEN u.new ELSE s.value END,
+            s.changes + CASE WHEN s.value IS NOT DISTINCT FROM u.expected THEN 1 ELSE 0 END, s.pos + 1
+          FROM s JOIN u ON u.entity_id = s.entity_id AND u.pos = s.pos + 1)
+        SELECT entity_id, value, changes FROM s QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY pos DESC) = 1""",
+    "fact_cas_repeats": f"""WITH u AS (SELECT o_custkey, {_SEGMENTS}[o_orderkey % 6 + 1] AS expected, min(o_orderpriority) AS new
+          FROM orders GROUP BY 1, 2)
+        SELECT c_custkey AS entity_id, coalesce(new, c_mktsegment) AS value
+        FROM customer LEFT JOIN u ON o_custkey = c_custkey AND expected = c_mktsegment""",
+    "chained_three": f"""WITH {st.EVENTS_SQL},
+        s1 AS (SELECT match_id, arg_min(player1, (minute, eid)) AS player1, arg_min(coalesce(team, ''), (minute, eid)) AS team
+          FROM ev WHERE event_kind = 'purchase' GROUP BY 1),
+        s2 AS (SELECT e.match_id, arg_min(CAST(minute AS VARCHAR), (minute, eid)) AS minute
+          FROM ev e JOIN s1 ON s1.match_id = e.match_id AND s1.player1 = e.player1 AND s1.team = e.team
+          WHERE event_kind = 'error' GROUP BY 1),
+        s3 AS (SELECT e.match_id, min(eid) AS eid FROM ev e JOIN s2 ON s2.match_id = e.match_id AND s2.minute = CAST(e.minute AS VARCHAR)
+          WHERE event_kind = 'click' GROUP BY 1)
+        SELECT c_custkey AS match_id, CASE WHEN s3.eid IS NOT NULL THEN CAST(s3.eid AS VARCHAR)
+            WHEN s2.minute IS NOT NULL THEN s2.minute || '|' || player1
+            ELSE player1 || '|' || CASE WHEN team = '' THEN 'none' ELSE team END END AS value,
+          CASE WHEN s3.eid IS NOT NULL THEN 3 WHEN s2.minute IS NOT NULL THEN 2 WHEN player1 IS NOT NULL THEN 1 ELSE 0 END AS step
+        FROM customer LEFT JOIN s1 ON s1.match_id = c_custkey LEFT JOIN s2 ON s2.match_id = c_custkey LEFT JOIN s3 ON s3.match_id = c_custkey""",
     "pattern_count": f"""WITH {st.EVENTS_SQL} SELECT match_id, count(DISTINCT eid) AS n FROM ev
         WHERE event_kind = 'error' AND minute IS NOT NULL GROUP BY 1""",
     "conjunctive_pattern": f"""WITH {st.EVENTS_SQL} SELECT match_id, eid AS entity_id,

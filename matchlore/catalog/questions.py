@@ -120,6 +120,21 @@ def negatives_with_repeats(spark, folder):
     return _negatives(spark, folder, True)
 
 
+def negatives_by_match(spark, folder):
+    """n div 4 + 1 unanswerable questions per match, drawn by match first."""
+    asked = _questions(spark, folder).select("match_id", "eid", "query")
+    return qs.negatives_by_match(asked, _answers(spark, folder), "match_id", "eid", "query", st.SEED)
+
+
+def negatives_shortfall(spark, folder):
+    """Matches that get fewer negatives than wanted where a question asks for a kind and a side only."""
+    query = F.concat_ws("|", "event_kind", F.coalesce("team", F.lit("none")))
+    asked = st.match_events(spark, folder).select("match_id", "eid", query.alias("query"))
+    answered = asked.select("match_id", "query").distinct()
+    drawn = qs.negatives(asked, answered, "match_id", "eid", "query", st.SEED)
+    return qs.shortfall(asked, drawn, "match_id")
+
+
 def question_union(spark, folder):
     """Answered questions and negatives as one set of records, counted."""
     asked = _questions(spark, folder)
@@ -175,7 +190,7 @@ QUERIES = {
     for f in (
         length_gate, fact_exists_semi, answer_batch, drop_empty, question_per_rule, question_cap,
         category_default, answerability, other_match_draw, negatives, negatives_with_repeats,
-        question_union, shuffle_events, shuffle_documents, split_60_20_20, question_jsonl, props_json,
+        negatives_by_match, negatives_shortfall, question_union, shuffle_events, shuffle_documents, split_60_20_20, question_jsonl, props_json,
     )
 }
 
@@ -220,6 +235,21 @@ _REPEATS = f"SELECT match_id, slot, {_DRAW} % free AS at FROM slots JOIN sizes U
 _NEGATIVES_SQL = "WITH " + _NEGATIVES.format(drawn=_DISTINCT)
 
 SQL = {
+    # Brute force: all that a match may be asked, each with its weight.
+    "negatives_by_match": f"""WITH {_ASKED}, {_SLOTS},
+        w AS (SELECT q.match_id, eid, query, 1073741824 // n AS width FROM q JOIN cnt USING (match_id)),
+        free AS (SELECT c.match_id, o.eid, o.query, width, CAST(sum(width) OVER (PARTITION BY c.match_id
+            ORDER BY md5('42:' || o.query), o.query, o.eid ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto
+          FROM cnt c JOIN w o ON o.match_id <> c.match_id ANTI JOIN a ON a.match_id = c.match_id AND a.query = o.query),
+        drawn AS (SELECT match_id, slot, """ + _DRAW + """ % free AS at
+          FROM slots JOIN (SELECT match_id, max(upto) AS free FROM free GROUP BY 1) USING (match_id))
+        SELECT d.match_id, d.slot, f.eid, f.query FROM drawn d
+        JOIN free f ON f.match_id = d.match_id AND f.upto - f.width <= d.at AND d.at < f.upto""",
+    "negatives_shortfall": f"""WITH {st.EVENTS_SQL}, q AS (SELECT match_id, event_kind || '|' || coalesce(team, 'none') AS query FROM ev),
+        t AS (SELECT query, count(*) AS n FROM q GROUP BY 1), m AS (SELECT match_id, count(*) AS n FROM q GROUP BY 1),
+        b AS (SELECT match_id, sum(t.n) AS blocked FROM (SELECT DISTINCT match_id, query FROM q) JOIN t USING (query) GROUP BY 1),
+        f AS (SELECT match_id, m.n // 4 + 1 AS wanted, CAST((SELECT count(*) FROM q) - blocked AS BIGINT) AS free FROM m JOIN b USING (match_id))
+        SELECT match_id, wanted, wanted - least(wanted, free) AS missing FROM f WHERE free < wanted""",
     "length_gate": f"""SELECT doc_id FROM documents
         WHERE len([x FOR x IN string_split(text, chr(10)) IF {st.strip_sql('x')} <> '']) >= 5
         AND len([x FOR x IN string_split(replace(text, ' ', chr(10)), chr(10))

@@ -36,17 +36,16 @@ class Level:
         return F.split(text, _SPACE, -1) if self.words else F.split(text, "")
 
     def shingles(self, tokens: Column) -> Column:
-        """Hashes of the different runs of ``size`` tokens; level and text both go into them."""
-        join = " " if self.words else ""
-        starts = F.when(
-            F.size(tokens) >= self.size, F.sequence(F.lit(1), F.size(tokens) - (self.size - 1))
-        ).otherwise(F.array().cast("array<int>"))
-        level = F.lit(f"{'w' if self.words else 'c'}{self.size}")
-
-        def run(at: Column) -> Column:
-            return F.xxhash64(level, F.array_join(F.slice(tokens, at, self.size), join))
+        """Hashes of the different runs of ``size`` tokens; the level goes into them as well.
 
-        return F.array_distinct(F.transform(starts, run))
+        The runs are zipped out of shifted arrays: inside a lambda ``tokens`` would be computed for every run.
+        """
+        runs = F.greatest(F.size(tokens) - (self.size - 1), F.lit(0))
+        shifted = F.arrays_zip(*[F.slice(tokens, at, runs).alias(f"t{at}") for at in range(1, self.size + 1)])
+        level = F.lit(f"{'w' if self.words else 'c'}{self.size}")
+        return F.array_distinct(
+            F.transform(shifted, lambda run: F.xxhash64(level, *[run[f"t{at}"] for at in range(1, self.size + 1)]))
+        )
 
     def inner(self, needle: Column) -> Column:
         """The shingles of a needle that a text holding it must have."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -208,3 +208,48 @@ def short_form_allowed(
     ordered.running_max(F.when(~eligible, F.col("__pos")), "__head")
     offset = F.col("__pos") - F.col("__head")
     return ordered.df.withColumn(name, offset % 2 == 1).drop("__pos", "__before", "__head")
+
+
+def carried_values(
+    events: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    values: Column,
+    uses: Callable[[Column], Column],
+    hold: bool = False,
+    name: str = "carried",
+    limit: int = GROUP_LIMIT,
+    largest: int | None = None,
+) -> DataFrame:
+    """Adds ``name``: the ``values`` struct an event can refer to, and ``name``_used: whether it does.
+
+    An event hands its values (NULL for none) on to the next one. An event for which ``uses`` of the
+    values handed to it holds uses them up and hands on nothing, so it is never followed by a second use of
+    the same values, nor by one of its own. With ``hold`` an event without values passes on what it was handed, so
+    values last until they are used or replaced.
+
+    Who hands on to whom is known before anything is used: the last event before a row that has values (any
+    event without ``hold``). Within the stretch that refers to one such event only the first fitting row can
+    use it. Whether the event still hands on depends on whether it is itself the first fitting row of the stretch before,
+    and so on backwards: in a run of those every second one is used.
+    """
+    at, own, source, fit, seen, number, head = (f"__{c}" for c in ("event", "own", "source", "fit", "seen", "number", "head"))
+    rows = OrderedGroups(events.withColumn(own, values), group, order, limit, largest).number(at)
+    hands = F.col(own).isNotNull() if hold else F.lit(True)
+    handed = F.struct(F.col(at).alias("at"), F.col(own).alias("values"))
+    rows.running_max(F.when(hands, handed), source).previous(F.col(source), source)
+    known = F.col(f"{source}.values")
+    fits = known.isNotNull() & F.coalesce(uses(known), F.lit(False))
+    rows.running_max(F.when(fits, F.col(at)), seen).previous(F.col(seen), seen)
+    # Nobody in between has used it: the fitting row seen last is not behind the event that handed on.
+    fresh = F.coalesce(F.col(seen) <= F.col(f"{source}.at"), F.lit(True))
+    first = fits & fresh
+    rows.running_sum(hands.cast("bigint"), number)
+    rows.running_max(F.when(hands & ~first, F.col(number)), head)
+    # Before the row itself: is the event that handed on a user, an odd number of steps into its run?
+    rows.previous(F.col(number) - F.col(head), fit)
+    spent = F.coalesce(F.col(fit) % 2 == 1, F.lit(False))
+    carried = F.when(fresh & ~spent, known)
+    found = rows.df.withColumn(name, carried)
+    used = F.col(name).isNotNull() & F.coalesce(uses(F.col(name)), F.lit(False))
+    return found.withColumn(f"{name}_used", used).drop(at, own, source, fit, seen, number, head)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchlore.functions.sampling import hash_number, seed_hash
@@ -127,3 +127,16 @@ def write_documents(nested: DataFrame, folder: str) -> None:
     """JSON lines {version, split, data} in one folder per split."""
     named = nested.withColumn("folder", F.col("split"))
     named.write.mode("overwrite").partitionBy("folder").json(folder)
+
+
+# The columns of an exported document.
+DOCUMENT = (
+    "version STRING, split STRING, data ARRAY<STRUCT<title: STRING, paragraphs: ARRAY<STRUCT<context: STRING, "
+    "datalog: STRING, qas: ARRAY<STRUCT<rule: STRING, category: STRING, question: STRING, answertype: STRING, "
+    "datalog: STRING, id: STRING, is_impossible: BOOLEAN, answers: ARRAY<STRUCT<text: STRING, answer_start: INT>>>>>>>>"
+)
+
+
+def read_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Exported documents as they were written. The schema is given, so nothing is inferred, and a line that is no document fails."""
+    return spark.read.schema(DOCUMENT).option("mode", "FAILFAST").json(folder).select("version", "split", "data")

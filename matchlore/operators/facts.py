@@ -7,6 +7,7 @@ A pattern asks for entities, so facts are filtered and joined on
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,6 +169,52 @@ def chained(*steps: DataFrame, key: str, value: str = "value", strict: bool = Fa
     return joined.select(key, answer.alias(value))
 
 
+@dataclass(frozen=True)
+class Step:
+    """One question of a chain: ``answers`` holds (key, columns) for all keys.
+
+    The columns in ``takes`` must equal the arguments, by position; an answer hands on the columns in ``gives``.
+    Of several answers the first by ``order``, then by what it gives, counts.
+    """
+
+    answers: DataFrame
+    gives: Sequence[str]
+    takes: Sequence[str] = ()
+    order: Sequence[str] = ()
+
+    def first(self, key: str) -> DataFrame:
+        """(key, __take0.., __gives): one answer per key and arguments, reduced before the shuffle."""
+        taken = [F.col(c).cast("string").alias(f"__take{i}") for i, c in enumerate(self.takes)]
+        gives = F.array(*[F.col(c).cast("string") for c in self.gives]).alias("g")
+        rows = self.answers.select(key, *taken, F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(self.order)], gives).alias("__row"))
+        by = [key, *[f"__take{i}" for i in range(len(self.takes))]]
+        return rows.groupBy(*by).agg(F.min("__row")["g"].alias("__gives"))
+
+
+def chain(start: DataFrame, steps: Sequence[Step], key: str, arguments: Sequence[str] = ()) -> DataFrame:
+    """(key, value, step): the last answer of a chain of any length, and the number of the step that gave it.
+
+    Each step is asked with what the first row of the last answer gave, at the beginning with the ``arguments``
+    columns of ``start`` (one row per key). A step without an answer leaves arguments and answer as they are.
+    Values are texts; ``value`` is NULL and ``step`` 0 where no step had an answer. A NULL argument equals nothing, and
+    one that was not given counts as NULL.
+    """
+    given = F.array(*[F.col(c).cast("string") for c in arguments]) if arguments else F.array().cast("array<string>")
+    none = F.lit(None).cast("array<string>")
+    state = start.select(key, given.alias("__args"), none.alias("value"), F.lit(0).alias("step"))
+    for number, step in enumerate(steps, 1):
+        asked = [F.get("__args", F.lit(i)).alias(f"__take{i}") for i in range(len(step.takes))]
+        by = [key, *[f"__take{i}" for i in range(len(step.takes))]]
+        found = state.select("*", *asked).join(step.first(key), by, "left")
+        state = found.select(
+            key,
+            F.coalesce("__gives", "__args").alias("__args"),
+            F.coalesce("__gives", "value").alias("value"),
+            F.when(F.col("__gives").isNotNull(), number).otherwise(F.col("step")).alias("step"),
+        )
+    return state.drop("__args")
+
+
 def with_match_facts(events: DataFrame, matches: DataFrame, key: str = "match_id") -> DataFrame:
     """Match columns copied to every event of the match; an event's own value wins."""
     shared = [c for c in matches.columns if c in events.columns and c != key]
@@ -202,13 +249,19 @@ def add_facts(facts: DataFrame, more: DataFrame) -> DataFrame:
 def compare_and_set(
     facts: DataFrame, updates: DataFrame, keys: Sequence[str] = (*ENTITY, "attr")
 ) -> DataFrame:
-    """Sets ``new`` where the value is still ``expected``. ``updates`` is unique on the keys."""
-    marked = updates.withColumn("__update", F.lit(True))
-    joined = facts.join(marked, list(keys), "left")
-    applies = F.col("__update").isNotNull() & F.col("value").eqNullSafe(F.col("expected"))
-    return joined.select(
-        *keys, F.when(applies, F.col("new")).otherwise(F.col("value")).alias("value")
-    )
+    """Sets ``new`` where the value is still ``expected``, all facts at once.
+
+    Updates are joined by key and expected value; of several that expect the same the least ``new`` is
+    set. See ``changes.compare_and_set_in_order`` for updates that follow one another.
+    """
+    single = updates.groupBy(*keys, "expected").agg(F.min("new").alias("__new"), F.lit(True).alias("__update"))
+    single = single.withColumnsRenamed({key: f"__of_{key}" for key in keys})
+    on = F.col("value").eqNullSafe(F.col("expected"))
+    for key in keys:
+        on = on & (F.col(key) == F.col(f"__of_{key}"))
+    joined = facts.join(single, on, "left")
+    changed = F.when(F.col("__update"), F.col("__new")).otherwise(F.col("value"))
+    return joined.select(*keys, changed.alias("value"))
 
 
 def match_entities(matches: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ MIN_LINES = 50
 MATCH_ATTEMPTS = 20
 MAX_GENERATED = 50
 NEGATIVE_SHARE = 4
+# The weight of a match in a draw, shared out among its questions; 2**33 matches fit a BIGINT.
+MATCH_SHARE = 1 << 30
 
 
 def long_enough(
@@ -211,6 +213,43 @@ def other_match_questions(
     )
 
 
+def _blocked(results: DataFrame, ranges: DataFrame, numbered: DataFrame, key: str, query: str) -> DataFrame:
+    """(key, start, questions): the numbers a match may not be asked, as ranges that do not overlap.
+
+    The range of every query with a result on the match (``questions`` numbers from ``start``), and ``width`` numbers from
+    ``question_no`` for each question of its own besides.
+    """
+    own = numbered.join(results, [key, query], "left_anti")
+    return results.join(ranges, query).select(key, "start", "questions").unionByName(
+        own.select(key, F.col("question_no").alias("start"), F.col("width").alias("questions"))
+    )
+
+
+def _past_blocked(blocked: DataFrame, draws: DataFrame, key: str, limit: int, largest: int) -> DataFrame:
+    """``draws`` (key, slot, at) among the numbers that are left over, as numbers among all."""
+    # Where a blocked range lies among the numbers that are left over.
+    summed = OrderedGroups(blocked, [key], [F.col("start")], limit, largest).running_sum(
+        F.col("questions"), "shift"
+    ).df
+    placed = summed.select(
+        key,
+        F.lit(0).alias("is_draw"),
+        (F.col("start") - F.col("shift") + F.col("questions")).alias("at"),
+        "shift",
+        F.lit(None).cast("bigint").alias("slot"),
+    )
+    named = draws.select(
+        key, F.lit(1).alias("is_draw"), "at", F.lit(None).cast("bigint").alias("shift"), "slot"
+    )
+    order = [F.col(column) for column in ("at", "is_draw", "shift", "slot")]
+    moved = OrderedGroups(placed.unionByName(named), [key], order, limit, largest).running_max(
+        F.col("shift"), "shift"
+    ).df
+    return moved.filter(F.col("is_draw") == 1).select(
+        key, "slot", (F.col("at") + F.coalesce("shift", F.lit(0))).alias("at")
+    )
+
+
 def negatives(
     questions: DataFrame,
     answered: DataFrame,
@@ -242,22 +281,7 @@ def negatives(
     most_questions, total = sizes["asked"].largest, sizes["queries"].rows
     most_blocked = sizes["results"].largest + most_questions
     ranges, numbered = _numbered(narrow, query, question_key, seed, limit, sizes["queries"].largest)
-    blocked = results.join(ranges, query).select(key, "start", "questions").unionByName(
-        numbered.join(results, [key, query], "left_anti").select(
-            key, F.col("question_no").alias("start"), F.lit(1).cast("bigint").alias("questions")
-        )
-    )
-    # Where a blocked range lies among the numbers that are left over.
-    summed = OrderedGroups(blocked, [key], [F.col("start")], limit, most_blocked).running_sum(
-        F.col("questions"), "shift"
-    ).df
-    placed = summed.select(
-        key,
-        F.lit(0).alias("is_draw"),
-        (F.col("start") - F.col("shift") + F.col("questions")).alias("at"),
-        "shift",
-        F.lit(None).cast("bigint").alias("slot"),
-    )
+    blocked = _blocked(results, ranges, numbered.withColumn("width", F.lit(1).cast("bigint")), key, query)
     counts = questions.groupBy(key).agg(F.count(F.lit(1)).alias("questions"))
     within = OrderedGroups(asked, [key], [F.col(question_key)], limit, most_questions).number(
         "within", start=0
@@ -277,23 +301,62 @@ def negatives(
         low = F.col("slot") * width + F.least(F.col("slot"), longer)
         size = width + F.when(F.col("slot") < longer, F.lit(1)).otherwise(F.lit(0))
         at = low + _draw(seed, key, size)
-    draws = slots.select(
-        key,
-        F.lit(1).alias("is_draw"),
-        at.alias("at"),
-        F.lit(None).cast("bigint").alias("shift"),
-        "slot",
+    drawn = _past_blocked(blocked, slots.select(key, "slot", at.alias("at")), key, limit, most_blocked + most_questions)
+    drawn = drawn.withColumnRenamed("at", "question_no")
+    return drawn.join(numbered.select("question_no", question_key, query), "question_no").drop(
+        "question_no"
     )
-    order = [F.col(column) for column in ("at", "is_draw", "shift", "slot")]
-    most_placed = most_blocked + most_questions // NEGATIVE_SHARE + 1
-    moved = OrderedGroups(placed.unionByName(draws), [key], order, limit, most_placed).running_max(
-        F.col("shift"), "shift"
+
+
+def negatives_by_match(
+    questions: DataFrame,
+    answered: DataFrame,
+    key: str,
+    question_key: str,
+    query: str,
+    seed: int,
+    limit: int = GROUP_LIMIT,
+) -> DataFrame:
+    """Like ``negatives`` with repeats, but a draw takes another match first and then one of its questions.
+
+    So a match is drawn as often as another whatever its number of questions, and every draw that hits a
+    question with a result on the asked match is repeated from the start. In one step: a question has the
+    share of its match divided by the number of the match's questions as its weight, and the draw is one among the weights
+    that are not blocked, moved past the blocked ones below it. Weights are whole numbers, ``MATCH_SHARE`` div n.
+    """
+    counts = questions.groupBy(key).agg(F.count(F.lit(1)).alias("questions"))
+    asked = questions.select(key, question_key, query)
+    # A question without a query cannot be put to another match, but counts for its own.
+    narrow = asked.filter(F.col(query).isNotNull()).join(
+        counts.select(key, F.expr(f"{MATCH_SHARE} div questions").alias("width")), key
+    )
+    results = answered.select(key, query).filter(F.col(query).isNotNull()).distinct()
+    sizes = _group_sizes(asked=(asked, key), queries=(asked.filter(F.col(query).isNotNull()), query), results=(results, key))
+    most = sizes["results"].largest + 2 * sizes["asked"].largest
+
+    ranges = _starts(narrow.groupBy(query).agg(F.sum("width").alias("questions")), query, seed)
+    summed = OrderedGroups(narrow, [query], [F.col(question_key), F.col(key)], limit, sizes["queries"].largest).running_sum(
+        F.col("width"), "upto"
     ).df
-    drawn = moved.filter(F.col("is_draw") == 1).select(
-        key, "slot", (F.col("at") + F.coalesce("shift", F.lit(0))).alias("question_no")
+    numbered = summed.join(ranges.select(query, "start"), query).select(
+        key, question_key, query, "width", (F.col("start") + F.col("upto") - F.col("width")).alias("question_no")
     )
-    return drawn.join(numbered.select("question_no", question_key, query), "question_no").drop(
-        "question_no"
+    blocked = _blocked(results, ranges, numbered, key, query)
+    gone = blocked.groupBy(key).agg(F.sum("questions").alias("gone"))
+    everything = narrow.agg(F.coalesce(F.sum("width"), F.lit(0)).alias("all")).first()["all"]
+    free = counts.join(gone, key, "left").select(key, (F.lit(everything) - F.coalesce("gone", F.lit(0))).alias("free"))
+    within = OrderedGroups(asked, [key], [F.col(question_key)], limit, sizes["asked"].largest).number("within", start=0).df
+    slots = _slots(counts, within, key).join(free.filter(F.col("free") > 0), key)
+    draws = slots.select(key, "slot", _draw(seed, key, F.col("free")).alias("at"))
+    drawn = _past_blocked(blocked, draws, key, limit, most)
+
+    # A draw and the question whose weight it falls into meet in a cell of the number line; a question lies in a few of them.
+    cell = MATCH_SHARE // 16
+    first, last = F.expr(f"question_no div {cell}"), F.expr(f"(question_no + width - 1) div {cell}")
+    lying = numbered.select(question_key, query, "question_no", "width", F.explode(F.sequence(first, last)).alias("cell"))
+    hit = (F.col("at") >= F.col("question_no")) & (F.col("at") < F.col("question_no") + F.col("width"))
+    return drawn.withColumn("cell", F.expr(f"at div {cell}")).join(lying, "cell").filter(hit).select(
+        key, "slot", question_key, query
     )
 
 

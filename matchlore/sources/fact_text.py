@@ -35,8 +35,8 @@ def read_fact_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def match_id_of_path(path: Column) -> Column:
-    """The number a report, fact or question file carries in its name."""
-    return F.regexp_extract(path, r"_(\d+)\.\w+$", 1).try_cast("bigint")
+    """The number a report, fact or question file, or a folder with its parts, carries in its name."""
+    return F.regexp_extract(path, r"_(\d+)\.\w+(?:/[^/]*)?$", 1).try_cast("bigint")
 
 
 def fact_maps(texts: DataFrame, key: str, text: str = "text") -> DataFrame:

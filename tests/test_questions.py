@@ -105,3 +105,22 @@ def test_questions_without_query_count_but_are_not_put(spark):
     assert drawn.filter("query IS NULL").count() == 0
     assert qs.shortfall(asked, drawn, "match_id").count() == 0
     assert {tuple(r) for r in qs.shortfall(asked, drawn.filter("match_id > 0"), "match_id").collect()} == {(0, 3, 3)}
+
+
+@pytest.mark.parametrize("limit", [10**6, 3])
+def test_matches_are_drawn_before_questions(spark, limit):
+    """A match with one question is drawn as often as one with many; nothing answered or own comes out."""
+    rows = [(m, f"{m}-{i}", f"q{i}" if m < 3 else f"r{m}") for m, n in ((0, 400), (1, 30), (2, 1), (3, 1), (4, 1)) for i in range(n)]
+    rows.append((4, "4-none", None))
+    asked = spark.createDataFrame(rows, "m long, k string, q string")
+    answered = spark.createDataFrame([(0, f"q{i}") for i in range(200)] + [(1, "r3"), (2, "zzz"), (1, None)], "m long, q string")
+    drawn = qs.negatives_by_match(asked, answered, "m", "k", "q", 5, limit).collect()
+    per = {m: [r for r in drawn if r["m"] == m] for m in range(5)}
+    assert [len(per[m]) for m in range(5)] == [101, 8, 1, 1, 1]
+    assert all(not r["k"].startswith(f"{r['m']}-") and r["q"] is not None for r in drawn)
+    # Match 0 has a result on all that matches 1 and 2 ask, so only 3 and 4 are left, 4 with half its weight on no query.
+    hits = [r["k"].split("-")[0] for r in per[0]]
+    assert set(hits) == {"3", "4"} and 50 < hits.count("3") < 85
+    assert "r3" not in {r["q"] for r in per[1]}
+    none = qs.negatives_by_match(asked.filter("m = 0"), answered, "m", "k", "q", 5, limit)
+    assert none.count() == 0
