@@ -10,7 +10,8 @@ The pieces themselves then find their place by their exact rank among pieces of
 their length, counted in two steps so that a length that most pieces have (the
 full one) is not ranked in one task.
 
-Defined results: a null or empty text is one piece, the end token; repeated rows are packed each.
+Defined results: a null or empty text is one piece, the end token; repeated rows are packed each, rows without an id as well;
+a text of any length and kind is encoded whole; an empty table gives no pieces. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,8 @@ class Encoder:
     """Token ids of texts as little-endian bytes.
 
     The rank file beside the tokenizer's file holds the same vocabulary and gives the same ids several
-    times faster (tests compare them); without one the tokenizer itself is used.
+    times faster (tests compare them); without one, and for texts whose runs of white space are too long for
+    its pattern, the tokenizer itself is used.
     """
 
     def __init__(self, path: str):
@@ -54,9 +56,12 @@ class Encoder:
             )
 
     def __call__(self, text: str) -> bytes:
-        if self.ranked is None:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return self.ranked.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        if self.ranked is not None:
+            try:
+                return self.ranked.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+            except ValueError:  # the pattern's stack, which about half a million blanks in a row exceed
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def encoder(path: str) -> Encoder:

@@ -142,3 +142,18 @@ def test_ranks_give_the_ids_of_the_tokenizer(rows):
 
 def test_nothing_to_pack(none):
     assert packing.packed_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "\t", " \n", "x", " ", "1"])
+def test_very_long_runs_are_encoded_whole(unit):
+    tokenizer, encode = Tokenizer.from_file(packing.VOCABULARY), packing.encoder(packing.VOCABULARY)
+    text = "a" + unit * (2_000_000 // len(unit.encode())) + "b"
+    ids = np.frombuffer(encode(text), "<u4").tolist()
+    assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_long_white_space_in_the_table(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000), (None, "a"), (2, None)], "doc_id long, text string")
+    rows = packing.packed_documents(docs).collect()
+    assert sum(r["length"] for r in rows if r["doc_id"] == 1) == 1_200_001
+    assert sum(r["length"] for r in rows if r["doc_id"] is None) == 2
