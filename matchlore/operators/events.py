@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlore.functions import labels
 from matchlore.functions.text import strip
-from matchlore.operators.model import lookup_player, lookup_team
+from matchlore.operators.model import lookup_player, lookup_team, prepared_players, prepared_teams
 from matchlore.operators.ordered import GROUP_LIMIT, OrderedGroups
 from matchlore.sources.xml_events import event_documents, event_elements
 
@@ -68,14 +68,18 @@ def event_fields(elements: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def resolve_names(events: DataFrame, teams: DataFrame, players: DataFrame) -> DataFrame:
-    """Team key to the team's long name, player keys to player structs."""
+    """Team key to the team's long name, player keys to player structs.
+
+    Each dimension is made unique once, however many keys refer to it.
+    """
+    teams, players = prepared_teams(teams), prepared_players(players)
     keyed = events.withColumn("__team", F.col("team").cast("bigint"))
-    found = lookup_team(keyed, "__team", teams, "team").drop(
+    found = lookup_team(keyed, "__team", teams, "team", prepared=True).drop(
         "__team", "team", "team_id", "team_api_id", "team_shortname"
     )
     for player in ("player1", "player2"):
         found = lookup_player(
-            found.withColumnRenamed(player, "__key"), "__key", players, player
+            found.withColumnRenamed(player, "__key"), "__key", players, player, prepared=True
         ).drop("__key")
     return found
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from matchlore.functions import labels
 from matchlore.functions.sampling import hash_number, seed_hash
 from matchlore.operators.ordered import OrderedGroups, first_in_group, hash_ranked
+from matchlore.session import kept_table
 
 # The event columns of the match table.
 EVENT_KINDS = (
@@ -91,14 +92,29 @@ def left_lookup(df: DataFrame, key: str, table: DataFrame, table_key: str) -> Da
     return left.join(right, match, "left").drop("__spread", "__zero", "__key")
 
 
+def prepared_teams(teams: DataFrame, attr: str = "team_api_id") -> DataFrame:
+    """One team per key, the one with the smallest id, stored once for any number of lookups.
+
+    As a table its size is known: small ones are broadcast, so that the rows that look up are not shuffled.
+    """
+    teams = teams.select("id", "team_api_id", "team_long_name", "team_short_name")
+    return kept_table(first_in_group(teams, [attr], ["id"]), "teams")
+
+
+def prepared_players(players: DataFrame) -> DataFrame:
+    """One player per key like ``prepared_teams``."""
+    players = players.select("id", "player_api_id", "player_name")
+    return kept_table(first_in_group(players, ["player_api_id"], ["id"]), "players")
+
+
 def lookup_team(
-    df: DataFrame, key: str, teams: DataFrame, prefix: str, attr: str = "team_api_id"
+    df: DataFrame, key: str, teams: DataFrame, prefix: str, attr: str = "team_api_id", prepared: bool = False
 ) -> DataFrame:
     """Adds ``{prefix}_id, _api_id, _longname, _shortname``; NULL if there is no such team.
 
-    Of several teams with one key the one with the smallest id is taken.
+    Of several teams with one key the one with the smallest id is taken. ``prepared`` teams are unique already.
     """
-    chosen = first_in_group(
+    chosen = teams if prepared else first_in_group(
         teams.select("id", "team_api_id", "team_long_name", "team_short_name"), [attr], ["id"]
     )
     named = chosen.select(
@@ -115,15 +131,18 @@ def lookup_team(
 UNKNOWN_PLAYER = "unknown player"
 
 
-def lookup_player(df: DataFrame, key: str, players: DataFrame, name: str) -> DataFrame:
+def lookup_player(
+    df: DataFrame, key: str, players: DataFrame, name: str, prepared: bool = False
+) -> DataFrame:
     """Adds ``name STRUCT<id, name, valid>`` for a player key given as id or as text.
 
     No key gives NULL; a key without a row gives (key, 'unknown', false); the
     text 'unknown player' gives (-1, 'unknown', false).
     """
-    chosen = first_in_group(
+    unique = players if prepared else first_in_group(
         players.select("id", "player_api_id", "player_name"), ["player_api_id"], ["id"]
-    ).select(
+    )
+    chosen = unique.select(
         F.col("player_api_id").alias("__player_key"),
         F.col("id").alias("__player_id"),
         F.col("player_name").alias("__player_name"),

@@ -22,12 +22,19 @@ def parse_elements(xml: Column) -> Column:
 
     A tag with nested elements has no text of its own and gets NULL.
     """
-    marked = F.regexp_replace(xml, "&lt;|&#0*60;|&#[xX]0*3[cC];", _WRITTEN)
-    marked = F.regexp_replace(marked, r"<!\[CDATA\[", f"{_SECTION}<![CDATA[")
+    # Few texts hold a written < and few values a bracket, so each step first looks whether it has anything to do.
+    marked = F.when(
+        xml.contains("&"), F.regexp_replace(xml, "&lt;|&#0*60;|&#[xX]0*3[cC];", _WRITTEN)
+    ).otherwise(xml)
+    marked = F.when(
+        xml.contains("<![CDATA["), F.replace(marked, F.lit("<![CDATA["), F.lit(f"{_SECTION}<![CDATA["))
+    ).otherwise(marked)
     elements = F.from_xml(marked, ELEMENTS, {"mode": "FAILFAST"})["value"]
 
     def text(_: Column, value: Column) -> Column:
-        return F.when(~strip(value).startswith("<"), F.translate(value, _WRITTEN + _SECTION, "<"))
+        held = value.contains(_WRITTEN) | value.contains(_SECTION)
+        plain = F.when(held, F.translate(value, _WRITTEN + _SECTION, "<")).otherwise(value)
+        return F.when(~value.contains("<") | ~strip(value).startswith("<"), plain)
 
     return F.transform(elements, lambda tags: F.transform_values(tags, text))
 
