@@ -2,9 +2,11 @@
 
 A page is cut into flat blocks: runs of text between tags that start or end a block. A block is
 described by its number of words and its link density, by those of the block before and
-after it, and by the kinds of element around it (an article, a piece of the page's frame, a heading). A
-decision tree over these features, trained on the small labelled table below, tells main text
-from the rest.
+after it, by the elements around it (an article, a piece of the page's frame inside or around
+the innermost article, a name that may mean either, a heading) and by the words that articles elsewhere on the
+page hold. A decision tree over these features, trained on the small labelled table below, tells main text
+from the rest; it learns for instance that unnamed text beside an article is a notice or a comment, and that a short
+text between links belongs to a menu.
 
 Defined results: null and empty pages have no text; broken or cut mark-up is read as far as it goes; an
 element that is never closed ends with its parent; repeated rows give equal results.
@@ -13,6 +15,7 @@ element that is never closed ends with its parent; repeated rows give equal resu
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -35,10 +38,12 @@ MAIN = frozenset("article main".split())
 FRAME_WORDS = frozenset(
     "nav navbar navigation menu menubar topbar header masthead banner footer sidebar aside widget breadcrumb breadcrumbs crumbs "
     "pagination pager toc ad ads advert adverts advertisement adsbygoogle sponsor sponsored promo promotion commercial "
-    "comment comments commentlist respond disqus reply replies discussion cookie cookies consent gdpr notice alert popup "
-    "modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations "
-    "more-links tags toolbar skip copyright legal disclaimer complementary contentinfo".split()
+    "comment comments commentlist respond disqus reply replies cookie cookies consent gdpr notice alert popup "
+    "modal overlay newsletter subscribe subscription signup login more-links toolbar skip copyright complementary contentinfo".split()
 )
+#: Names of a piece of the frame as well as of a page about it: the tree decides by words and links.
+HINT_WORDS = frozenset("search share sharing social related recommended recommendations tags discussion reactions feedback legal disclaimer".split())
+COMMENT_WORDS = frozenset("comment comments commentlist respond disqus reply replies".split())
 MAIN_WORDS = frozenset("article content post entry story main body-text article-body post-body post-content entry-content story-body".split())
 
 _TOKEN = re.compile(
@@ -72,7 +77,65 @@ LABELLED = (
     "<article><h1>+~8</h1><p>+~50</p><p>+~2</p></article>", "<article><p>+~30</p><p>+~1", "<article><h1>+~4</h1><p>+~40</p><p>+~3</p><p>+~1</p>",
     "<main><p>+~12</p><p>+~70</p><p>+~4</p></main>", "<article><h1>+~3</h1></article>", "<nav><a href=/>-~1</a></nav><article><p>+~1</p></article><footer>-~1</footer>",
     "<div class=content-sidebar-wrap><main><h1>+~5</h1><p>+~30</p><p>+~2</p></main><aside><p>-~20</p></aside></div><footer>-~9</footer>",
+    # links within and around articles
+    "<nav><a href=/>-~2</a></nav><article><p>+~30</p></article>", "<div><a href=/>-~3</a></div><main><p>+~18</p></main><div><a href=/>-~4</a></div>",
+    "<article><h1>+<a href=/>~5</a></h1><p>+~2 <a href=/>~1</a></p><ul><li>+<a href=/>~2</a></li><li>+<a href=/>~3</a></li></ul><p>+~3</p><p>+<a href=/>~12</a></p></article>",
+    "<nav><a href=/>-~1</a></nav><main><p>+~1</p><p>+<a href=/>~1</a></p><p>+~8</p><p>+<a href=/>~2</a> ~2</p></main><footer><a href=/>-~3</a></footer>",
+    "<div><a href=/>-~2</a></div><div class=content><p>+~6</p></div><div><a href=/>-~2</a> <a href=/>~2</a></div>",
+    "<article><p>+<a href=/>~20</a></p><p>+~2</p><table><tr><td>+<a href=/>~1</a></td><td>+~2</td></tr><tr><td>+<a href=/>~4</a></td><td>+~1</td></tr></table></article>",
+    "<p>-~12</p><p><a href=/>-~5</a></p><article><p>+~35</p></article><p><a href=/>-~6</a></p>",
+    # what an article holds is main text at any length, whatever stands around it
+    *[
+        f"<div><a href=/>-~{k}</a></div><{tag}><p>+~{n}</p><p>+<a href=/>~{k}</a></p><p>+~{n}</p></{tag}><div><a href=/>-~{m}</a></div>"
+        for tag in ("article", "main") for n in (1, 3, 8, 20, 40) for k in (1, 5, 12) for m in (1, 12)
+    ],
+    # articles within forms and oddly named wrappers; comments and teasers that are articles themselves
+    "<form id=page><nav><a href=/>-~2</a></nav><article><h1>+~5</h1><p>+~30</p><p>+~1</p></article></form>",
+    "<div class=search><article><p>+~40</p><p>+~3</p></article></div><div class=legal><main><p>+~25</p></main></div>",
+    "<main><p>+~60</p><p>+~2</p></main><div class=comments><article><p>-~30</p><p>-~3</p></article><article><p>-~70</p></article></div>",
+    "<aside><article><h3>-~5</h3><p>-~20</p></article></aside><article><h1>+~5</h1><p>+~50</p></article>",
+    "<article><p>+~45</p></article><article class=comment><p>-~40</p><p>-~2</p></article><article class=comment-body>-~15</article>",
+    # unnamed notices, comments and teasers beside an article
+    "<div>-~13</div><article><h1>+~6</h1><p>+~40</p></article><div>-~2</div><div>-~35</div><div>-~1</div><div>-~90</div>",
+    "<p>-~25 <a href=/>~2</a></p><main><p>+~30</p><p>+~80</p></main><p>-~150</p><p>-~60</p><div id=reactions><p>-~45</p></div>",
+    "<h1>-~4</h1><div class=post><p>+~120</p></div><h3>-~2</h3><p>-~18</p><p>-~30</p>",
+    "<div class=entry>+~3</div><div>+~70</div><div>+~50</div>", "<article><h2>+~4</h2></article><p>+~60</p><p>+~45</p><p>+~80</p>",
+    *[
+        f"<div>-~{k}</div><{tag}><p>+~{n}</p><p>+~{k}</p></{tag}><div>-~{k}</div><div>-~{m}</div><div>-~{k}</div>"
+        for tag in ("article", "main") for n in (20, 60, 120) for k in (2, 14, 30, 70) for m in (5, 30, 100)
+    ],
+    # the frame of a page, however short its article
+    *[
+        f"<nav><a href=/>-~{k}</a></nav><div class=ad>-~{m}</div><{tag}><p>+~{n}</p></{tag.split()[0]}><aside><p>-~{m}</p></aside><footer>-~{m}</footer>"
+        for tag in ("article", "main", "div class=post") for n in (1, 4, 8, 12, 60) for k in (1, 9) for m in (2, 10, 40, 150)
+    ],
+    *[
+        f"<nav><a href=/>-~{k}</a></nav><h1>+~5</h1><p>+~{n}</p><div class=newsletter>-~{m}</div><p>+~{n}</p><aside><p>-~{m}</p></aside><footer>-~{m}</footer>"
+        for n in (16, 40, 90) for k in (1, 9) for m in (2, 10, 40, 150)
+    ],
+    # a teaser marked as an article above the text itself
+    *[
+        f"<div class=entry>+~{b}</div><p>+~{n}</p><p>+~{n}</p><aside>-~{m}</aside><footer>-~{m}</footer>"
+        for b in (3, 8, 12) for n in (45, 60, 90) for m in (10, 40, 70, 150)
+    ],
+    # names that say little
+    "<div class=search><h1>+~6</h1><p>+~60</p><p>+~45</p></div>", "<div id=legal><p>+~80</p></div>", "<div class=legal>-~12</div>",
+    "<div class=search>-~3</div><p>+~50</p><div class=social>-~4 <a href=/>~2</a></div><div class=related><a href=/>-~5</a></div>",
+    "<section id=discussion><h2>+~1</h2><p>+~70</p><p>+~30</p></section>",
+    "<article><p>+~50</p><section id=discussion><h2>+~1</h2><p>+~60</p></section><div class=tags>-~2</div><div class=related><a href=/>-~9</a> <a href=/>~7</a></div></article>",
+    "<article><p>+~30</p><div class=share>-~1</div><div class=related><h3>-~2</h3><a href=/>-~6</a></div></article>",
     # nothing but divisions
+    "<div>-~13</div><div><a href=/>-~1</a></div><div><a href=/>-~2</a></div><div>+~40</div><div>+~5</div><div>+~30</div><div>-~3 <a href=/>~4</a></div><div>-~2</div>",
+    "<div><a href=/>-~2</a></div><div>-~1</div><div><a href=/>-~3</a></div><div>+~30</div><div>+~4</div><div>+~60</div><div>+~3</div><div>+~25</div><div><a href=/>-~2</a></div>",
+    "<div>-~16 <a href=/>~1</a></div><div><a href=/>-~1</a> <a href=/>~1</a></div><p>+~25</p><p>+~2</p><p>+~45</p><div>-~8</div><div><a href=/>-~6</a></div><div>-~11</div>",
+    # lists of links with a heading or a teaser each; the same lengths within prose
+    "<div>-~3</div><div><a href=/>-~9</a></div><div><a href=/>-~11</a></div><div>+~3</div><div>+~50</div><div>+~3</div><div>+~40</div><div>-~3</div><div><a href=/>-~8</a></div><div><a href=/>-~10</a></div>",
+    "<div><a href=/>-~8</a></div><div>-~22</div><div><a href=/>-~7</a></div><div>-~24</div><div><a href=/>-~9</a></div><div>-~20</div><div><a href=/>-~7</a></div>",
+    "<div>+~45</div><div>+~22</div><div>+~9</div><div>+~24</div><div>+~11</div><div>+~38</div><div>-~2</div><div><a href=/>-~12</a></div><div>-~19</div><div><a href=/>-~14</a></div>",
+    "<h3>-~4</h3><div><a href=/>-~12</a></div><h3>-~2</h3><div><a href=/>-~15</a></div><h2>+~4</h2><div>+~60</div><h2>+~2</h2><div>+~12</div><div>+~33</div>",
+    "<div><a href=/>-~6</a></div><div>-~10</div><div><a href=/>-~6</a></div><div>+~28</div><div>+~10</div><div>+~31</div><div><a href=/>-~6</a></div><div>-~10</div><div><a href=/>-~9</a></div>",
+    "<article><h2>+~4</h2><p>+~8</p></article><p>+~60</p><p>+~35</p><p>+~50</p>",
+    "<p>+~30</p><p>+~26</p><p>-~4 <a href=/>~12</a></p><p>-~2 <a href=/>~9</a></p>", "<p>+~40 <a href=/>~10</a></p><p>+~8 <a href=/>~3</a></p><p>+~35</p>",
     "<div><a href=/>-~1</a></div><div><a href=/>-~2</a></div><div><a href=/>-~1</a></div><div><h1>+~7</h1></div><div>+~50</div><div>+~35</div><div>+~8</div><div>+~60</div><div><a href=/>-~3</a></div><div>-~4</div>",
     "<div><a href=/>-~2</a> <a href=/>~2</a> <a href=/>~1</a></div><p>+~40</p><p>+~28</p><p>+~16</p><p>+~30 <a href=/>~4</a></p><div><a href=/>-~4</a></div><div><a href=/>-~5</a></div>",
     "<table><tr><td><a href=/>-~3</a></td><td>+~80</td></tr><tr><td><a href=/>-~2</a></td><td>+~55</td></tr></table><p>-~3</p>",
@@ -81,14 +144,44 @@ LABELLED = (
     "<div class=menu><p>-~12</p></div><div class=header><h1>-~4</h1></div><div class=content><p>+~2</p><p>+~80</p><p>+~5</p></div><div role=contentinfo><p>-~60</p></div>",
 )
 
-FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "frame", "main", "heading")
+FEATURES = (
+    "words", "links", "words_before", "links_before", "words_after", "links_after",
+    "frame", "main", "heading", "around", "hint", "beside",
+)
+
+
+@dataclass(frozen=True)
+class Place:
+    """What the open elements say, from the outermost to one of them."""
+
+    tag: str = ""
+    hidden: bool = False
+    main: int = 0
+    #: 2 for a piece of the frame inside the innermost article, 1 if that is a form or only a part of a name says so
+    frame: int = 0
+    #: a piece of the frame around the innermost article
+    around: int = 0
+    hint: int = 0
+    heading: int = 0
+    anchors: int = 0
+
+    def inside(self, tag: str, kind: str) -> Place:
+        main, frame, around, hint = self.main, self.frame, self.around, self.hint
+        if kind == "main":
+            # wrappers and forms around an article are no frame of it
+            main, frame, around, hint = 1, 0, int(around or frame == 2), 0
+        elif kind == "frame" and not (tag == "header" and main):  # the header of an article is not the header of the page
+            frame = max(frame, 1 if tag == "form" else 2)
+        elif kind == "wrap":
+            frame = max(frame, 1)
+        elif kind == "hint":
+            hint = 1
+        return Place(tag, self.hidden or kind == "hidden", main, frame, around, hint, int(self.heading or tag in HEADINGS), self.anchors + (tag == "a"))
 
 
 @dataclass
 class Block:
-    frame: int
-    main: int
-    heading: int
+    place: Place
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     text: str = ""
@@ -112,29 +205,32 @@ def _hidden(raw: str) -> bool:
 
 
 def _kind(tag: str, attributes: str) -> str:
-    """What an element is to the page: frame, main or nothing of its own; wrap if only a part of a name says frame."""
+    """What an element is to the page: main, frame, hint or nothing of its own; wrap if only a part of a name says frame."""
     if tag in FRAME:
         return "frame"
-    if tag in MAIN:
-        return "main"
+    names: set[str] = set()
     if attributes and tag not in INLINE and tag not in ("body", "html"):
         named = _attributes(attributes)
         names = {w for n in ("class", "id", "role") for w in named.get(n, "").lower().split()}
-        if names & MAIN_WORDS:
-            return "main"
-        if names & FRAME_WORDS:
-            return "frame"
-        if {p for w in names if not _LAYOUT.match(w) for p in re.split(r"[-_]", w)} & FRAME_WORDS:
-            return "wrap"
-    return ""
+    if names & MAIN_WORDS:
+        return "main"
+    parts = {p for w in names if not _LAYOUT.match(w) for p in re.split(r"[-_]", w)}
+    if names & FRAME_WORDS or (tag in MAIN and parts & COMMENT_WORDS):
+        return "frame"
+    if tag in MAIN:
+        return "main"
+    if parts & FRAME_WORDS:
+        return "wrap"
+    return "hint" if parts & HINT_WORDS else ""
 
 
 def blocks(page: str) -> list[Block]:
-    """The flat text blocks of a page that hold any text."""
+    """The flat text blocks of a page that hold any text; time grows with the page, however deep its elements."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
+    outside = Place()
+    stack: list[Place] = []
+    opened: Counter[str] = Counter()
     block: Block | None = None
-    anchors = 0
 
     def end() -> None:
         nonlocal block
@@ -149,21 +245,20 @@ def blocks(page: str) -> list[Block]:
 
     def text(raw: str) -> None:
         nonlocal block
-        kinds = [k for _, k in stack]
-        if not raw or "hidden" in kinds:
+        place = stack[-1] if stack else outside
+        if not raw or place.hidden:
             return
         if block is None:
-            names = [t for t, _ in stack]
-            inner = max((i for i, k in enumerate(kinds) if k == "main"), default=-1)
-            # the header of an article is not the header of the page
-            frame = any(k == "frame" and not (inner >= 0 and i > inner and names[i] == "header") for i, k in enumerate(kinds))
-            # a wrapper around an article is no frame of it
-            frame |= "wrap" in kinds[inner + 1 :]
-            block = Block(int(frame), int(inner >= 0), int(any(t in HEADINGS for t in names)))
+            block = Block(place)
         block.parts.append(raw)
-        if anchors:
+        if place.anchors:
             block.linked.append(raw)
 
+    def leave() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        return tag
+
     at, size = 0, len(page)
     while at < size:
         token = _TOKEN.search(page, at)
@@ -183,19 +278,19 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             end()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                del stack[depth:]
+            if opened[tag]:
+                while leave() != tag:
+                    pass
         elif tag not in VOID:
             if tag not in INLINE:
                 # formatting and paragraphs that were left open end here
-                while stack and stack[-1][0] in INLINE and stack[-1][1] != "hidden":
-                    stack.pop()
-                while stack and stack[-1][0] in _CLOSES.get(tag, _PARAGRAPH):
-                    stack.pop()
+                while stack and stack[-1].tag in INLINE and not stack[-1].hidden:
+                    leave()
+                while stack and stack[-1].tag in _CLOSES.get(tag, _PARAGRAPH):
+                    leave()
             hidden = _hidden(attributes) and not attributes.endswith("/")
-            stack.append((tag, "hidden" if hidden else _kind(tag, attributes)))
-        anchors = sum(t == "a" for t, _ in stack)
+            stack.append((stack[-1] if stack else outside).inside(tag, "hidden" if hidden else _kind(tag, attributes)))
+            opened[tag] += 1
     end()
     return out
 
@@ -215,11 +310,15 @@ def _after(page: str, at: int, tag: str) -> int:
 
 def features(found: list[Block]) -> list[tuple[float, ...]]:
     rows = []
+    held = sum(b.words for b in found if b.place.main and not b.place.frame and not b.place.around)
     for i, b in enumerate(found):
         before, after = found[i - 1] if i else None, found[i + 1] if i + 1 < len(found) else None
+        place = b.place
         rows.append((
             float(b.words), b.links, float(before.words if before else 0), before.links if before else 0.0,
-            float(after.words if after else 0), after.links if after else 0.0, float(b.frame), float(b.main), float(b.heading),
+            float(after.words if after else 0), after.links if after else 0.0,
+            float(place.frame > 0), float(place.main), float(place.heading), float(place.around), float(place.hint),
+            float(0 if place.main or place.frame else held),
         ))
     return rows
 
@@ -236,7 +335,7 @@ def labelled(pages: tuple[str, ...] = LABELLED) -> list[tuple[float, tuple[float
 Node = tuple[int, float, "Node", "Node"] | float
 
 
-def trained(spark: SparkSession, pages: tuple[str, ...] = LABELLED, depth: int = 8) -> Node:
+def trained(spark: SparkSession, pages: tuple[str, ...] = LABELLED, depth: int = 12) -> Node:
     """A decision tree over ``FEATURES``: nodes (feature, threshold, at most, above), leaves the label."""
     table = spark.createDataFrame([(label, Vectors.dense(row)) for label, row in labelled(pages)], ["label", "features"])
     model = DecisionTreeClassifier(maxDepth=depth, maxBins=64, seed=42).fit(table.coalesce(1))
