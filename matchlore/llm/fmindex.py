@@ -3,10 +3,11 @@
 A shard holds the segments of a range of anchors (``repeats``), so all places where a
 window may occur are in one shard, and shards are of bounded size. Its index is the
 Burrows-Wheeler transform of the segments' words in a wavelet matrix: one packed bit
-vector per bit of a word's number, with counts per 64 bits. The segments then stream
+vector per bit of a word's number, with counts per 64 bits; the order of suffixes and the numbered words are
+dropped once it is built. The segments then stream
 through as queries, all in lockstep: backward search extends a match to the left as long
 as the interval still holds a suffix from a document of smaller id (a range minimum over the
-documents in suffix order). Matches of at least a window are reported; the
+documents in suffix order, by their rank in the shard). Matches of at least a window are reported; the
 search then goes on from the last end at which a longer reach to the left is possible.
 
 Defined results: null counts as empty; a null id counts as the largest; repeated rows have one id, so
@@ -84,23 +85,69 @@ class WaveletMatrix:
         return self._follow(symbols, upto) - self.starts[symbols]
 
 
+class RangeMinima:
+    """Least values of intervals: minima of up to a block from every place, and from every block on.
+
+    For n values of 32 bits these are 5 n numbers for runs within blocks of 16 and about n for the rest, not
+    n log n.
+    """
+
+    _LOG = 4
+
+    def __init__(self, values: np.ndarray):
+        self.short = self._doubled(values.astype(np.int32), self._LOG + 1)
+        size = 1 << self._LOG
+        # every block's least value is the minimum of its length from its first place; the last block may be shorter
+        edges = np.arange(0, len(values), size)
+        self.long = self._doubled(np.minimum.reduceat(self.short[0], edges), 32)
+
+    @staticmethod
+    def _doubled(values: np.ndarray, most: int) -> list[np.ndarray]:
+        levels = [values]
+        while len(levels) < most and 2 << (len(levels) - 1) <= len(values):
+            last, half = levels[-1], 1 << (len(levels) - 1)
+            levels.append(np.minimum(last[:-half], last[half:]))
+        return levels
+
+    @staticmethod
+    def _least(levels: list[np.ndarray], low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Intervals that are not empty, of a length below twice that of the last level."""
+        level = np.frexp((high - low).astype(np.float64))[1] - 1
+        out = np.empty(len(low), np.int32)
+        for k in np.unique(level):
+            some = level == k
+            out[some] = np.minimum(levels[k][low[some]], levels[k][high[some] - (1 << k)])
+        return out
+
+    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The least value in each interval; none is empty."""
+        block = 1 << self._LOG
+        out = np.empty(len(low), np.int32)
+        far = high - low >= 2 * block
+        out[~far] = self._least(self.short, low[~far], high[~far])
+        if far.any():
+            low, high = low[far], high[far]
+            ends = np.minimum(self.short[-1][low], self.short[-1][high - block])
+            # whole blocks lie between, at least one
+            out[far] = np.minimum(ends, self._least(self.long, -(-low // block), high // block))
+        return out
+
+
 class FMIndex:
     """Backward search over several texts, each known by the id of its document."""
 
     def __init__(self, texts: list[np.ndarray], documents: np.ndarray, longest: int):
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        self.bounds = np.r_[0, ends]
+        bounds = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
         # 0 parts the texts; words are numbered from 1
-        self.text = np.concatenate([x for t in texts for x in (t, [0])]).astype(np.int64)
-        order = suffix_array(self.text, longest + 1)
-        size = int(self.text.max()) + 1
-        self.tree = WaveletMatrix(self.text[order - 1], size)
-        self.before = np.r_[0, np.cumsum(np.bincount(self.text, minlength=size))][:size]
-        owners = np.repeat(documents, np.diff(self.bounds))[order]
-        self.least = [owners]
-        while 2 << (len(self.least) - 1) <= len(owners):
-            last, half = self.least[-1], 1 << (len(self.least) - 1)
-            self.least.append(np.minimum(last[:-half], last[half:]))
+        joined = np.concatenate([x for t in texts for x in (t, [0])]).astype(np.int64)
+        order = suffix_array(joined, longest + 1)
+        counts = np.bincount(joined)
+        self.size = len(joined)
+        self.tree = WaveletMatrix(joined[order - 1], len(counts))
+        self.before = np.r_[0, np.cumsum(counts)][:-1]
+        #: the ids of documents by rank
+        self.ids, ranks = np.unique(documents, return_inverse=True)
+        self.least = RangeMinima(np.repeat(ranks.astype(np.int32), np.diff(bounds))[order])
 
     def extend(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals of the matches with one more symbol at their left."""
@@ -109,32 +156,26 @@ class FMIndex:
 
     def smallest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """The least document in intervals that are not empty."""
-        level = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), np.int64)
-        for k in np.unique(level):
-            some = level == k
-            table = self.least[k]
-            out[some] = np.minimum(table[low[some]], table[high[some] - (1 << k)])
-        return out
+        return self.ids[self.least.least(low, high)]
 
 
-def matches(index: FMIndex, documents: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
-    """For each text of the index the maximal runs of words, ``window`` or longer, that a text of a smaller document has.
+def matches(index: FMIndex, texts: list[np.ndarray], documents: np.ndarray, window: int) -> list[list[tuple[int, int]]]:
+    """For each text the maximal runs of words, ``window`` or longer, that an indexed text of a smaller document has.
 
     Runs are found from their right end. A run from ``f + 1`` to ``e`` that cannot be extended leaves
     only windows that start at ``f`` or before and end before ``e``.
     """
-    count = len(documents)
-    base, length = index.bounds[:-1], np.diff(index.bounds) - 1
-    found: list[list[tuple[int, int]]] = [[] for _ in range(count)]
+    length = np.array([len(t) for t in texts], np.int64)
+    streamed, base = np.concatenate(texts).astype(np.int32), np.cumsum(length) - length
+    found: list[list[tuple[int, int]]] = [[] for _ in texts]
     who = np.flatnonzero(length >= window)
     end = length[who] - 1
     while len(who):
         at = end.copy()
-        low, high = np.zeros(len(who), np.int64), np.full(len(who), len(index.text))
+        low, high = np.zeros(len(who), np.int64), np.full(len(who), index.size)
         going = np.arange(len(who))
         while len(going):
-            symbols = index.text[base[who[going]] + at[going]]
+            symbols = streamed[base[who[going]] + at[going]]
             lo, hi = index.extend(symbols, low[going], high[going])
             some = np.flatnonzero(hi > lo)
             earlier = index.smallest(lo[some], hi[some]) < documents[who[going[some]]]
@@ -157,7 +198,7 @@ def class_spans(contents: list[bytes], documents: np.ndarray, window: int) -> li
     texts = [np.array([numbers.setdefault(w, len(numbers) + 1) for w in c.split()], np.int64) for c in contents]
     index = FMIndex(texts, documents, max(map(len, texts)))
     return [
-        [{"_from": a, "_to": b} for a, b in repeats.merged(spans)] for spans in matches(index, documents, window)
+        [{"_from": a, "_to": b} for a, b in repeats.merged(spans)] for spans in matches(index, texts, documents, window)
     ]
 
 

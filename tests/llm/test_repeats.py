@@ -149,7 +149,7 @@ def test_matches_of_the_index():
         for i in range(len(t) - window + 1):
             key = tuple(t[i : i + window])
             least[key] = min(least.get(key, 99), d)
-    for t, d, found in zip(texts, documents, fmindex.matches(index, documents, window)):
+    for t, d, found in zip(texts, documents, fmindex.matches(index, texts, documents, window)):
         mark, expected = np.zeros(len(t), int), np.zeros(len(t), int)
         for a, b in found:
             mark[a:b] = 1
@@ -157,3 +157,13 @@ def test_matches_of_the_index():
             if least[tuple(t[i : i + window])] < d:
                 expected[i : i + window] = 1
         assert mark.tolist() == expected.tolist()
+
+
+@pytest.mark.parametrize("size", [1, 2, 15, 16, 17, 31, 32, 33, 64, 300])
+def test_range_minima(size):
+    drawn = np.random.default_rng(size)
+    values = drawn.integers(0, 1000, size)
+    pairs = np.sort(drawn.integers(0, size + 1, (500, 2)), axis=1)
+    low, high = pairs[pairs[:, 0] < pairs[:, 1]].T
+    got = fmindex.RangeMinima(values).least(low, high)
+    assert got.tolist() == [int(values[a:b].min()) for a, b in zip(low, high)]
