@@ -111,6 +111,39 @@ def test_compare_and_set(spark):
     assert got == {(2, "6"), (4, "9")}
 
 
+def test_folder_of_fact_files(spark, tmp_path):
+    """A small folder with subfolders: match first, quotes in values, names with dots, an empty file and one without a number."""
+    bodies = {
+        "a/match_11.dl": '{:match/id "match_11"\n:match/score "2:1"}\n\n' + "\n\n".join(
+            f'{{:event/type "{kind}"\n:event/team "{team}"\n:event/minute {minute}\n:event/elapsed {minute}\n:event/elapsed_plus 0}}'
+            for kind, team, minute in (("goal", "home", 4), ("card", "away", 30), ("goal", "away", 44), ("corner", "home", 61), ("goal", "home", 90))
+        ),
+        "a/match_12.dl": '{:match/id "match_12"\n:match/score "0:0"}\n\n{:event/type "card"\n:event/player1 "O\\"N {x} \\\\ :y 1"\n:event/minute 7}',
+        "b/c/match_13.dl": '{:match/id "match_13"\n:match/score "0:0"\n:match/note ""}',
+        "b/match_14.dl": "",
+        "b/readme.dl": '{:match/id "none"}',
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"\n;;# data\n[\n{body}\n\n]\n\n")
+    files = ft.read_fact_files(spark, str(tmp_path))
+    assert files.count() == 5
+    texts = files.select(ft.match_id_of_path(F.col("path")).alias("match_id"), "text")
+    maps = ft.fact_maps(texts, "match_id")
+    found = fx.maps_to_facts(maps, "match_id")
+    by_match = {r["match_id"]: (r["e"], r["f"]) for r in found.groupBy("match_id").agg(
+        F.countDistinct("entity_id").alias("e"), F.count("*").alias("f")).collect()}
+    assert by_match == {11: (6, 27), 12: (2, 5), 13: (1, 3), None: (1, 1)}
+    assert {r["value"] for r in found.where("attr = 'event/player1'").collect()} == {'O"N {x} \\ :y 1'}
+    assert [r["value"] for r in found.where("attr = 'match/note'").collect()] == [""]
+    goals = found.where("attr = 'event/type' AND value = 'goal'").select("match_id", "entity_id").join(
+        found.where("attr = 'event/team'"), ["match_id", "entity_id"]).groupBy("match_id").pivot("value", ["home", "away"]).count()
+    assert [tuple(r) for r in goals.collect()] == [(11, 2, 1)]
+    again = fx.maps_to_facts(ft.fact_maps(ft.fact_texts(maps.select(
+        "match_id", (F.col("entity_id") - 2).alias("pos"), ft.render_entries(F.col("entries")).alias("line")), "match_id"), "match_id"), "match_id")
+    assert sorted(map(str, again.collect())) == sorted(map(str, found.collect()))
+
+
 @pytest.mark.skipif("FACT_CORPUS_DIR" not in os.environ, reason="no fact corpus given")
 def test_fact_corpus_invariants(spark):
     """Totals and rules that hold in the published corpus of 7,472 files."""
