@@ -3,79 +3,118 @@
 An inverted index over shingles finds candidates by equi-join. A needle that occurs in a text brings the
 words inside it along unchanged, so every run of words that is bounded by white space on both sides within the
 needle is a run of whole words of the text as well. Needles too short for that are looked up by runs of
-characters. Each needle is looked up by the one of its shingles that the fewest texts have; if
+bytes. Each needle is looked up by the one of its shingles that the fewest texts have; if
 some shingle is in no text, neither is the needle. What is found is verified by an exact search.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from matchlore.session import kept_table
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
+# Rows of postings a task hands over at once.
+_BATCH = 1 << 18
+# Odd numbers: words are hashed by powers of one, modulo 2**64, and put together and mixed by the others.
+_BASE, _NEXT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)
+_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
 @dataclass(frozen=True)
 class Level:
-    """Shingles of ``size`` words (inside a needle) or of ``size`` characters."""
+    """Shingles of ``size`` words (inside a needle) or of ``size`` bytes, eight at most, of the text in UTF-8."""
 
     size: int
     words: bool
 
-    @property
-    def least(self) -> int:
-        """Tokens a needle must have to be looked up at this level: two more words, as its outer words may be parts."""
-        return self.size + 2 if self.words else self.size
-
-    def tokens(self, text: Column) -> Column:
-        return F.split(text, _SPACE, -1) if self.words else F.split(text, "")
-
-    def shingles(self, tokens: Column) -> Column:
-        """Hashes of the different runs of ``size`` tokens; the level goes into them as well.
-
-        The runs are zipped out of shifted arrays: inside a lambda ``tokens`` would be computed for every run.
-        """
-        runs = F.greatest(F.size(tokens) - (self.size - 1), F.lit(0))
-        shifted = F.arrays_zip(*[F.slice(tokens, at, runs).alias(f"t{at}") for at in range(1, self.size + 1)])
-        level = F.lit(f"{'w' if self.words else 'c'}{self.size}")
-        return F.array_distinct(
-            F.transform(shifted, lambda run: F.xxhash64(level, *[run[f"t{at}"] for at in range(1, self.size + 1)]))
-        )
+    def fits(self, needle: Column) -> Column:
+        """Whether a needle can be looked up at this level: it takes two more words, as its outer words may be parts."""
+        return F.size(F.split(needle, _SPACE, -1)) >= self.size + 2 if self.words else F.octet_length(needle) >= self.size
 
     def inner(self, needle: Column) -> Column:
-        """The shingles of a needle that a text holding it must have."""
-        tokens = self.tokens(needle)
-        return self.shingles(F.slice(tokens, 2, F.size(tokens) - 2) if self.words else tokens)
+        """The part of a needle whose shingles a text holding it must have."""
+        tokens = F.split(needle, _SPACE, -1)
+        return F.array_join(F.slice(tokens, 2, F.size(tokens) - 2), " ") if self.words else needle
+
+    def shingles(self, data: np.ndarray) -> np.ndarray:
+        """Hashes of the different runs of ``size`` tokens; the level goes into them as well."""
+        tokens = _word_hashes(data) if self.words else data.astype(np.uint64)
+        runs = max(len(tokens) - self.size + 1, 0)
+        factor = _NEXT if self.words else np.uint64(256)
+        hashed = np.zeros(runs, np.uint64)
+        for at in range(self.size):
+            hashed = hashed * factor + tokens[at : at + runs]
+        hashed = (hashed ^ (hashed >> np.uint64(31))) * _MIX + np.uint64(2 * self.size + self.words)
+        return np.unique(hashed).view(np.int64)
 
 
 # Longest first: a needle is looked up at the first level it is long enough for.
 LEVELS = (Level(3, True), Level(1, True), Level(4, False), Level(3, False), Level(2, False), Level(1, False))
 
 
+def _word_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of each word: the difference of two running sums, divided by the power the word starts with."""
+    edges = np.flatnonzero(np.diff(_IS_SPACE[data].astype(np.int8), prepend=1, append=1))
+    starts, ends = edges[::2], edges[1::2]
+    powers = np.cumprod(np.full(len(data), _BASE), dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)])
+    inverse = np.cumprod(np.full(len(data), pow(int(_BASE), -1, 1 << 64), np.uint64), dtype=np.uint64)
+    hashed = (sums[ends] - sums[starts]) * inverse[starts]
+    return (hashed ^ (hashed >> np.uint64(29))) * _MIX
+
+
+def _postings(texts: DataFrame, key: str, text: str, levels: Sequence[Level]) -> DataFrame:
+    """(key, shingle): the different shingles of each row's text, on all levels."""
+    rows = texts.select(key, F.col(text).alias("__text")).filter(F.col("__text").isNotNull())
+
+    def batch(keys: pa.Array, at: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
+        repeated = keys.take(pa.array(np.repeat(at, [len(hashes) for hashes in found]), pa.int64()))
+        return pa.RecordBatch.from_arrays([repeated, pa.array(np.concatenate(found))], names=[key, "shingle"])
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            keys, at, found, size = given.column(0), [], [], 0
+            for number, value in enumerate(given.column(1)):
+                data = np.frombuffer(value.as_buffer(), np.uint8)
+                for level in levels:
+                    at.append(number)
+                    found.append(level.shingles(data))
+                    size += len(found[-1])
+                if size >= _BATCH:
+                    yield batch(keys, at, found)
+                    at, found, size = [], [], 0
+            if size:
+                yield batch(keys, at, found)
+
+    return rows.mapInArrow(shingled, T.StructType([rows.schema[key], T.StructField("shingle", T.LongType())]))
+
+
 def _with_level(needles: DataFrame, text: str, levels: Sequence[Level]) -> DataFrame:
-    """Adds ``__level`` (the index of the needle's level) and ``__shingles``; empty needles have no level."""
-    number, shingles = F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")
+    """Adds ``__level`` (the index of the needle's level) and ``__inner``; empty needles have no level."""
+    number, inner = F.lit(None).cast("int"), F.lit(None).cast("string")
     for at in reversed(range(len(levels))):
-        level = levels[at]
-        fits = (F.size(level.tokens(F.col(text))) >= level.least) & (F.length(text) > 0)
+        fits = levels[at].fits(F.col(text)) & (F.length(text) > 0)
         number = F.when(fits, at).otherwise(number)
-        shingles = F.when(fits, level.inner(F.col(text))).otherwise(shingles)
-    return needles.withColumn("__level", number).withColumn("__shingles", shingles)
+        inner = F.when(fits, levels[at].inner(F.col(text))).otherwise(inner)
+    return needles.withColumn("__level", number).withColumn("__inner", inner)
 
 
 def index_of(texts: DataFrame, key: str, text: str, wanted: DataFrame, levels: Sequence[Level]) -> DataFrame:
     """(shingle, key): in which texts the ``wanted`` (shingle) occur. Other postings never leave their task
-    if ``wanted`` is small enough to be broadcast."""
-    every = F.concat(*[level.shingles(level.tokens(F.col(text))) for level in levels])
-    # The outer form: the plain one makes Spark compute the array once more to filter by size.
-    exploded = texts.filter(F.col(key).isNotNull()).select(key, F.explode_outer(every).alias("shingle"))
-    postings = exploded.filter(F.col("shingle").isNotNull())
-    return postings.join(wanted, "shingle", "left_semi").distinct()
+    if ``wanted`` is small enough to be broadcast. A posting comes once for each row of its key that has the shingle."""
+    postings = _postings(texts.filter(F.col(key).isNotNull()), key, text, levels)
+    return postings.join(wanted, "shingle", "left_semi")
 
 
 def contained_in(
@@ -104,7 +143,8 @@ def contained_in(
     given = kept_table(given.withColumn("__id", F.xxhash64("__needle_key", "__needle")), "containment-needles")
     used = sorted(row[0] for row in given.select("__level").distinct().collect())
     levels = [LEVELS[at] for at in used or [0]]
-    of_needles = given.select("__id", F.explode("__shingles").alias("shingle"))
+    of_level = [_postings(given.filter(F.col("__level") == LEVELS.index(level)), "__id", "__inner", [level]) for level in levels]
+    of_needles = kept_table(reduce(DataFrame.union, of_level), "containment-postings")
     wanted = kept_table(of_needles.select("shingle").distinct(), "containment-shingles")
     index = kept_table(index_of(texts, text_key, text, wanted, levels), "containment-index")
 
@@ -117,7 +157,7 @@ def contained_in(
         "__id", F.col("rarest.shingle").alias("shingle"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
     )
     salted = index.withColumn("__salt", F.pmod(F.xxhash64(text_key), F.lit(salts)).cast("int"))
-    candidates = salted.join(chosen, ["shingle", "__salt"]).select(text_key, "__id")
+    candidates = salted.join(chosen, ["shingle", "__salt"]).select(text_key, "__id").distinct()
     # Kept, so that texts are shuffled only where the candidates are too many to be broadcast.
     pairs = kept_table(candidates.join(given.select("__id", "__needle_key", "__needle"), "__id").drop("__id"), "containment-pairs")
     at = F.instr(F.col("__text"), F.col("__needle")).cast("bigint")

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from matchlore.operators import containment
 
 NEEDLES = [
@@ -60,3 +62,24 @@ def test_plan_has_no_pairs(spark):
 def test_a_shingle_in_every_text_is_dealt_out(spark):
     texts = [(i, f"one two three four five number {i}") for i in range(300)]
     check(spark, [(1, "one two three four five"), (2, "three four five number 7")], texts)
+
+
+def test_shingles_are_found_for_whole_batches(spark):
+    """Made per character by interpreted functions they took most of the time of a search for short needles."""
+    texts = spark.range(1).selectExpr("id AS doc", "'one two three' AS text")
+    wanted = spark.range(1).selectExpr("id AS shingle")
+    plan = containment.index_of(texts, "doc", "text", wanted, containment.LEVELS)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambdafunction" not in plan
+
+
+def test_words_and_bytes_make_the_same_shingles_anywhere():
+    def shingles(level, text):
+        return set(containment.Level(*level).shingles(np.frombuffer(text.encode(), np.uint8)).tolist())
+
+    assert shingles((1, True), " \tab  cé\nab ") == shingles((1, True), "cé ab") and len(shingles((1, True), "ab cé")) == 2
+    assert shingles((3, True), "x a b\n\nc d y") >= shingles((3, True), "a b c d")
+    assert shingles((4, False), "xxabcdé") >= shingles((4, False), "abcdé")
+    assert not shingles((3, True), "a b") and not shingles((4, False), "abc") and not shingles((1, True), " \n")
+    assert not shingles((1, True), "ab ba a b") & shingles((1, True), "abb aab")
+    levels = [shingles((level.size, level.words), "abcd abcd abcd") for level in containment.LEVELS]
+    assert sum(map(len, levels)) == len(set().union(*levels))
