@@ -97,6 +97,20 @@ def test_only_long_and_new_matches_are_asked(spark, built):
     assert {r["match_id"] for r in asked.select("match_id").distinct().collect()} == {ids[0]}
 
 
+def test_texts_are_gated_once(spark, built):
+    """The gate may stand for whole reports, so neither the answers nor the questions work it out again."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text: str) -> str:
+        read.add(1)
+        return text
+
+    reports = reliable(built.matches.select("match_id").distinct().withColumn("context", F.lit("x\nx\nx")))
+    read_reports = reports.withColumn("context", F.udf(seen, "string")("context"))
+    qa.question_set(built.matches, built.events, 3, read_reports, min_lines=3).collect()
+    assert 0 < read.value <= reports.count()
+
+
 def test_a_rule_without_partner_fails(built):
     rules = [r for r in qa.EVENT_RULES if (r.target, r.rule_id) != ("datalog", "Q_E_WHO")]
     with pytest.raises(ValueError, match="Q_E_WHO"):
